@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -123,6 +123,26 @@ def one_hot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return encoder.fit(df).transform(df)
 
 
+def encode_categories(
+    df: DataFrame, dictionary: StringDictionary, columns: Sequence[str], output: str
+) -> DataFrame:
+    """Index, one-hot encode and assemble in one step: one vector of all one-hot blocks.
+
+    The labels of all columns, in order, are one vocabulary, and a row is its
+    tokens: each token sets the slot that indexing and encoding would have set.
+    That is one vector per row instead of one per column and row. Columns whose
+    dictionary does not fit on the driver take the three steps one by one.
+    """
+    if any(c in dictionary.large for c in columns):
+        encoded = one_hot_encode(dictionary.transform(df), columns)
+        blocks = [c + ENCODED for c in columns]
+        return assemble(encoded, blocks, output).drop(*blocks, *(c + INDEXED for c in columns))
+    vocabulary = [f"{i}={label}" for i, c in enumerate(columns) for label in dictionary.small[c]]
+    tokens = F.array(*(F.concat(F.lit(f"{i}="), F.col(c)) for i, c in enumerate(columns)))
+    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_tokens", outputCol=output)
+    return model.transform(df.withColumn("_tokens", F.array_compact(tokens))).drop("_tokens")
+
+
 def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
     """One vector of the numeric and vector columns, in the given order."""
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)

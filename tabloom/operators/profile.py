@@ -80,14 +80,16 @@ def continuous_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     `nulls` are the rows without a number after the cast; `sentinels` says how
     many of those were the sentinel text, so the rate counts each row once.
     """
+    # each value is cast once, below the aggregate
+    typed = df.select(*columns, *(to_double(c).alias(f"{c}_number") for c in columns))
     counts = _per_column(
-        df,
+        typed,
         columns,
         lambda c: {
-            "nulls": F.count_if(to_double(c).isNull()),
+            "nulls": F.count_if(F.col(f"{c}_number").isNull()),
             "sentinels": F.count_if(F.col(c).cast("string").eqNullSafe(F.lit(SENTINEL))),
-            "nans": F.count_if(F.isnan(to_double(c))),
-            "mean": F.avg(number_or_null(c)),
+            "nans": F.count_if(F.isnan(f"{c}_number")),
+            "mean": F.avg(number_or_null(F.col(f"{c}_number"))),
         },
     )
     missing = F.col("nulls") + F.col("nans")

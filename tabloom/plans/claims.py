@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from tabloom.config import CLAIMS, MISSING_LIMIT_PCT, ClaimsRoles
 from tabloom.functions.missing import is_missing_text
 from tabloom.operators.columns import cast_double, derive_binary_label, drop_columns
-from tabloom.operators.features import ENCODED, StringDictionary, assemble, fit_string_index, one_hot_encode
+from tabloom.operators.features import StringDictionary, assemble, encode_categories, fit_string_index
 from tabloom.operators.filters import drop_any_missing
 from tabloom.operators.hurdle import HurdleModel, hurdle_regression
 from tabloom.operators.impute import IMPUTED, fill_mean, fill_mode
@@ -73,11 +73,10 @@ class ClaimsPreparation:
         return drop_any_missing(df, [c for c in df.columns if c not in filled])
 
     def encode(self, clean: DataFrame) -> DataFrame:
-        """Index and one-hot encode the categories, assemble their vector."""
+        """Add the vector of the one-hot encoded categories."""
         if not self.nominal:
             return clean
-        encoded = one_hot_encode(self.dictionary.transform(clean), self.nominal)
-        return assemble(encoded, [c + ENCODED for c in self.nominal], CATEGORY_VECTOR)
+        return encode_categories(clean, self.dictionary, self.nominal, CATEGORY_VECTOR)
 
     def vectorize(self, clean: DataFrame) -> DataFrame:
         """Row id, target, label, final vector, and columns that play no part."""
@@ -137,13 +136,13 @@ def prepare_claims(raw: DataFrame, roles: ClaimsRoles = CLAIMS, **options) -> Da
 class Balanced:
     """Training and test rows for the claim models."""
 
+    preparation: ClaimsPreparation
     train: DataFrame
     test: DataFrame
-    source: DataFrame | None = None
+    persisted: DataFrame
 
     def release(self) -> None:
-        if self.source is not None:
-            self.source.unpersist()
+        self.persisted.unpersist()
 
 
 def balance_and_split(
@@ -168,9 +167,9 @@ def balance_and_split(
     if train_only:
         train_raw, test_raw = split_train_test(raw, roles.row_id)
         preparation, train = balanced(train_raw)
-        return Balanced(train, preparation.transform(test_raw), train)
-    _, rows = balanced(raw)
-    return Balanced(*split_train_test(rows, roles.row_id), rows)
+        return Balanced(preparation, train, preparation.transform(test_raw), train)
+    preparation, rows = balanced(raw)
+    return Balanced(preparation, *split_train_test(rows, roles.row_id), rows)
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,15 +19,20 @@ from tabloom.config import (
     SIGNAL_COLUMNS,
     SIGNAL_FEATURES,
 )
-from tabloom.operators import columns, filters, impute, metrics, models, ordering, profile, sampling, tuning
-from tabloom.operators.features import (
-    ENCODED,
-    INDEXED,
-    assemble,
-    one_hot_encode,
-    vector_elements,
+from tabloom.operators import (
+    columns,
+    features,
+    filters,
+    hurdle,
+    impute,
+    metrics,
+    models,
+    ordering,
+    profile,
+    sampling,
+    tuning,
 )
-from tabloom.operators.hurdle import hurdle_regression
+from tabloom.operators.features import ENCODED, INDEXED, assemble, vector_elements
 from tabloom.plans import claims as claims_plan
 from tabloom.plans import signal as signal_plan
 from tabloom.sources import preview
@@ -362,9 +366,9 @@ def string_index(spark, folder):
 
 
 @query
-def one_hot_encode_positions(spark, folder):
+def one_hot_encode(spark, folder):
     preparation, clean = _prepared(spark, folder)
-    encoded = one_hot_encode(preparation.dictionary.transform(clean), preparation.nominal)
+    encoded = features.one_hot_encode(preparation.dictionary.transform(clean), preparation.nominal)
     return encoded.select(
         CLAIMS.row_id,
         *(
@@ -376,9 +380,6 @@ def one_hot_encode_positions(spark, folder):
     )
 
 
-QUERIES["one_hot_encode"] = QUERIES.pop("one_hot_encode_positions")
-
-
 @query
 def assemble_numeric(spark, folder):
     rows = assemble(signal(spark, folder), SIGNAL_FEATURES, "features")
@@ -390,7 +391,9 @@ def assemble_numeric(spark, folder):
 @query
 def assemble_onehot(spark, folder):
     preparation, clean = _prepared(spark, folder)
-    return preparation.encode(clean).select(
+    encoded = features.one_hot_encode(preparation.dictionary.transform(clean), preparation.nominal)
+    blocks = [c + ENCODED for c in preparation.nominal]
+    return assemble(encoded, blocks, claims_plan.CATEGORY_VECTOR).select(
         CLAIMS.row_id,
         F.size(vector_to_array(claims_plan.CATEGORY_VECTOR)).cast("bigint").alias("width"),
         _hot_positions(claims_plan.CATEGORY_VECTOR).alias("hot"),
@@ -520,54 +523,58 @@ def boosted_report(spark, folder):
     return signal_plan.fit_classifier(_signal_prepared(spark, folder), models.boosted()).report()
 
 
-def _balanced(spark, folder) -> claims_plan.Balanced:
-    return claims_plan.balance_and_split(claims(spark, folder))
+def _on_balanced(spark, folder, fit):
+    """Fit on the persisted balanced rows, then free them; scoring reads the table again."""
+    rows = claims_plan.balance_and_split(claims(spark, folder))
+    try:
+        return fit(rows)
+    finally:
+        rows.release()
 
 
 @query
 def rf_classify_deep(spark, folder):
-    rows = _balanced(spark, folder)
-    model = models.fit(models.forest_deep(claims_plan.FINAL_VECTOR, CLAIMS.label), rows.train)
-    return model.transform(rows.test).select(CLAIMS.row_id, CLAIMS.label, "prediction")
+    def fit(rows):
+        model = models.fit(models.forest_deep(claims_plan.FINAL_VECTOR, CLAIMS.label), rows.train)
+        return model.transform(rows.test).select(CLAIMS.row_id, CLAIMS.label, "prediction")
+
+    return _on_balanced(spark, folder, fit)
 
 
 @query
 def linreg_elastic_net(spark, folder):
-    result = claims_plan.regress_claims(_balanced(spark, folder))
+    result = _on_balanced(spark, folder, claims_plan.regress_claims)
     return result.scored.select(CLAIMS.row_id, CLAIMS.target, "prediction")
 
 
 @query
 def glm_gaussian(spark, folder):
-    rows = _balanced(spark, folder)
-    model = models.fit(
-        models.gaussian_glm(claims_plan.FINAL_VECTOR, CLAIMS.target), filters.train_positive(rows.train)
-    )
-    return model.transform(filters.train_positive(rows.test)).select(
-        CLAIMS.row_id, CLAIMS.target, "combo_prediction"
-    )
+    def fit(rows):
+        estimator = models.gaussian_glm(claims_plan.FINAL_VECTOR, CLAIMS.target)
+        model = models.fit(estimator, filters.train_positive(rows.train))
+        return model.transform(filters.train_positive(rows.test)).select(
+            CLAIMS.row_id, CLAIMS.target, "combo_prediction"
+        )
+
+    return _on_balanced(spark, folder, fit)
 
 
 @query
-def hurdle_regression_scored(spark, folder):
-    return (
-        claims_plan.regress_claims_two_stage(_balanced(spark, folder))
-        .scored()
-        .select(CLAIMS.row_id, CLAIMS.target, CLAIMS.label, "prediction", "combo_prediction")
+def hurdle_regression(spark, folder):
+    result = _on_balanced(spark, folder, claims_plan.regress_claims_two_stage)
+    return result.scored().select(
+        CLAIMS.row_id, CLAIMS.target, CLAIMS.label, "prediction", "combo_prediction"
     )
 
 
-QUERIES["hurdle_regression"] = QUERIES.pop("hurdle_regression_scored")
-
-
 @query
 def claims_linear_report(spark, folder):
-    return claims_plan.regress_claims(_balanced(spark, folder)).report()
+    return _on_balanced(spark, folder, claims_plan.regress_claims).report()
 
 
 @query
 def claims_two_stage_report(spark, folder):
-    return claims_plan.regress_claims_two_stage(_balanced(spark, folder)).report()
+    return _on_balanced(spark, folder, claims_plan.regress_claims_two_stage).report()
 
 
 # --- tuning ---
@@ -717,10 +724,8 @@ def hurdle_regression_pair(spark, folder):
     )
     balanced = sampling.undersample_majority(rows, CLAIMS.row_id, CLAIMS.label)
     balanced = assemble(assemble(balanced, ["high"], "flag"), ["NVVar1", "Var5"], claims_plan.FINAL_VECTOR)
-    train, test = sampling.split_train_test(
-        balanced.persist(StorageLevel.MEMORY_AND_DISK), CLAIMS.row_id
-    )
-    model = hurdle_regression(
+    train, test = sampling.split_train_test(balanced, CLAIMS.row_id)
+    model = hurdle.hurdle_regression(
         train,
         _stump(features="flag", label=CLAIMS.label),
         models.gaussian_glm(claims_plan.FINAL_VECTOR, CLAIMS.target),
