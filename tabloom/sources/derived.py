@@ -136,14 +136,19 @@ def _derive(rows: DataFrame, columns: dict[str, str], *keep: str) -> DataFrame:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _table(spark: SparkSession, folder: str, name: str, derive) -> DataFrame:
-    """The derived table, written on first use by this application."""
+def _once(spark: SparkSession, folder: str, name: str, write) -> str:
+    """Path of a derived data set, written on first use by this application."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:
         path = fresh_path(spark, name)
-        derive(hashed_lineitem(spark, folder)).write.parquet(path)
+        write(path)
         _written[key] = path
-    return spark.read.parquet(_written[key])
+    return _written[key]
+
+
+def _table(spark: SparkSession, folder: str, name: str, derive) -> DataFrame:
+    path = _once(spark, folder, name, lambda p: derive(hashed_lineitem(spark, folder)).write.parquet(p))
+    return spark.read.parquet(path)
 
 
 def signal(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,13 +169,12 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
 
 def signal_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The signal table after a round trip through header-less CSV files."""
-    path = fresh_path(spark, "signal-csv")
-    signal_text(spark, folder).drop(ROW_ID).write.csv(path)
-    return scan_csv_positional(spark, path)
+    rows = signal_text(spark, folder).drop(ROW_ID)
+    return scan_csv_positional(spark, _once(spark, folder, "signal_csv", rows.write.csv))
 
 
 def claims_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The claims table after a round trip through CSV files with a header."""
-    path = fresh_path(spark, "claims-csv")
-    claims(spark, folder).write.csv(path, header=True)
+    rows = claims(spark, folder)
+    path = _once(spark, folder, "claims_csv", lambda p: rows.write.csv(p, header=True))
     return scan_csv_header(spark, path)
