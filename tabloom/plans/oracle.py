@@ -333,12 +333,15 @@ def _best_split(name: str, table: str, value: str, where: str = "TRUE") -> str:
   ORDER BY ls * ls / ln + (s - ls) * (s - ls) / (n - ln) DESC LIMIT 1)"""
 
 
+def _value(split: str) -> str:
+    """A row's value of the feature a one-row split table cuts."""
+    cases = " ".join(f"WHEN {split}.feature = {i} THEN {_q(c)}" for i, c in enumerate(SEARCH_FEATURES))
+    return f"CASE {cases} END"
+
+
 def _leaf(split: str) -> str:
     """The value of the leaf a row falls into, for a one-row split table joined to it."""
-    value = "CASE " + " ".join(
-        f"WHEN {split}.feature = {i} THEN {_q(c)}" for i, c in enumerate(SEARCH_FEATURES)
-    )
-    return f"CASE WHEN {value} END <= {split}.cut THEN {split}.low ELSE {split}.high END"
+    return f"CASE WHEN {_value(split)} <= {split}.cut THEN {split}.low ELSE {split}.high END"
 
 
 STUMP = f"{SIGNAL},\n{_best_split('stump', 'signal', 'label', 'sp < 700000')}"
@@ -347,6 +350,22 @@ ORACLE["rf_classify_stump"] = f"""{STUMP},
 leaf AS (SELECT row_id, label, {_p} AS p FROM signal, stump WHERE sp >= 700000)
 SELECT row_id, label, CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction,
   round(p, 6) AS probability FROM leaf"""
+
+# Two levels: leaves of one parent that vote alike become one leaf with the parent's mean.
+ORACLE["rf_classify_two_levels"] = f"""{SIGNAL},
+{_best_split('root', 'signal', 'label', 'sp < 700000')},
+halves AS (SELECT signal.*, {_value('root')} > root.cut AS upper FROM signal, root),
+{_best_split('c0', 'halves', 'label', 'sp < 700000 AND NOT upper')},
+{_best_split('c1', 'halves', 'label', 'sp < 700000 AND upper')},
+tree AS (SELECT (c0.low > 0.5E0) = (c0.high > 0.5E0) AS merged0, (c1.low > 0.5E0) = (c1.high > 0.5E0) AS merged1,
+  (root.low > 0.5E0) = (root.high > 0.5E0) AS alike, root.low AS p0, root.high AS p1,
+  (SELECT avg(label) FROM signal WHERE sp < 700000) AS p FROM root, c0, c1),
+leaf AS (SELECT row_id, label, CASE WHEN merged0 AND merged1 AND alike THEN p
+    WHEN upper THEN CASE WHEN merged1 THEN p1 ELSE {_leaf('c1')} END
+    ELSE CASE WHEN merged0 THEN p0 ELSE {_leaf('c0')} END END AS p
+  FROM halves, c0, c1, tree WHERE sp >= 700000)
+SELECT row_id, label, CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction,
+  round(p, 6) AS probability FROM leaf"""
 ORACLE["feature_importance_stump"] = f"{STUMP} " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CASE WHEN feature = {i} THEN 1.0E0 ELSE 0.0E0 END AS importance FROM stump"
     for i, c in enumerate(SEARCH_FEATURES)

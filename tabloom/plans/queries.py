@@ -649,6 +649,12 @@ def rf_classify_stump(spark, folder):
     return _rounded_scores(signal_plan.fit_classifier(_search_rows(spark, folder), _stump()))
 
 
+@query
+def rf_classify_two_levels(spark, folder):
+    """One split, then one more in each half."""
+    return _rounded_scores(signal_plan.fit_classifier(_search_rows(spark, folder), _stump(maxDepth=2)))
+
+
 @query
 def feature_importance_stump(spark, folder):
     fitted = signal_plan.fit_classifier(_search_rows(spark, folder), _stump())
