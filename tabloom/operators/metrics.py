@@ -19,10 +19,11 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
 
     Rows with equal scores meet in the partial aggregate, so a hot score is one
     row per task. Each distinct score then needs the number of zeros scored
-    lower. Quantiles of the score cut its range into buckets: the zeros of
-    earlier buckets are summed over one row per bucket, those of the same
-    bucket by a window inside it. The quantiles only balance the buckets; any
-    cut gives the same area. Null when a class is absent.
+    lower. Quantiles of the score cut its range into buckets: a window inside
+    each bucket counts the zeros there, and the zeros of all earlier buckets
+    are added for the bucket as a whole, over one row per bucket. The quantiles
+    only balance the buckets; any cut gives the same area. Null when a class is
+    absent.
     """
     partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2, min(partitions, MAX_BUCKETS))
@@ -34,23 +35,22 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
         F.count_if(F.col("label") == 0).cast("double").alias("zeros"),
     )
     if len(splits) > 2:
-        by_score = Bucketizer(
-            splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep"
-        ).transform(by_score)
+        bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
+        by_score = bucketizer.transform(by_score).withColumn("bucket", F.col("bucket").cast("int"))
     else:
-        by_score = by_score.withColumn("bucket", F.lit(0.0))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        by_score = by_score.withColumn("bucket", F.lit(0))
     inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_zeros = (
-        by_score.groupBy("bucket")
-        .agg(F.sum("zeros").alias("zeros"))
-        .select("bucket", F.coalesce(F.sum("zeros").over(before), F.lit(0.0)).alias("earlier"))
+    lower = F.coalesce(F.sum("zeros").over(inside), F.lit(0.0))
+    # at most MAX_BUCKETS + 1 rows from here on
+    by_bucket = (
+        by_score.withColumn("won", F.col("ones") * (lower + F.col("zeros") / 2))
+        .groupBy("bucket")
+        .agg(F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     )
-    lower = F.col("earlier") + F.coalesce(F.sum("zeros").over(inside), F.lit(0.0))
-    return (
-        by_score.join(F.broadcast(bucket_zeros), "bucket")
-        .select("ones", "zeros", (F.col("ones") * (lower + F.col("zeros") / 2)).alias("won"))
-        .agg(F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros")).alias("auc"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("zeros").over(before), F.lit(0.0))
+    return by_bucket.withColumn("won", F.col("won") + F.col("ones") * earlier).agg(
+        F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros")).alias("auc")
     )
 
 
