@@ -25,14 +25,21 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     only balance the buckets; any cut gives the same area. Null when a class is
     absent.
     """
-    partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(partitions, MAX_BUCKETS))
     rows = scored.select(F.col(label).alias("label"), F.col(score).cast("double").alias("score"))
+    return _ranked(rows).select("auc")
+
+
+def _ranked(rows: DataFrame, *totals: str) -> DataFrame:
+    """One row: the AUC of (label, score), and the sums of further columns on the way."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2, min(partitions, MAX_BUCKETS))
     cuts = rows.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
     splits = [float("-inf"), *sorted(set(cuts) - {float("inf"), float("-inf")}), float("inf")]
+    sums = [F.sum(t).alias(t) for t in totals]
     by_score = rows.groupBy("score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("ones"),
         F.count_if(F.col("label") == 0).cast("double").alias("zeros"),
+        *sums,
     )
     if len(splits) > 2:
         bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
@@ -45,12 +52,12 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     by_bucket = (
         by_score.withColumn("won", F.col("ones") * (lower + F.col("zeros") / 2))
         .groupBy("bucket")
-        .agg(F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+        .agg(F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), *sums)
     )
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("zeros").over(before), F.lit(0.0))
     return by_bucket.withColumn("won", F.col("won") + F.col("ones") * earlier).agg(
-        F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros")).alias("auc")
+        F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros")).alias("auc"), *sums
     )
 
 
@@ -79,10 +86,20 @@ def _mae(target: str, prediction: str) -> Column:
 
 
 def classification_report(scored: DataFrame, label: str = "label") -> DataFrame:
-    """(auc, accuracy, scored_rows) of a classifier's output."""
-    rows = scored.select(label, "prediction", positive_score().alias("score"))
-    return rows.agg(_accuracy(label, "prediction"), F.count("*").alias("scored_rows")).select(
-        auc_roc(rows, label).scalar().alias("auc"), "accuracy", "scored_rows"
+    """(auc, accuracy, scored_rows) of a classifier's output.
+
+    Model scoring is the costly part, so all three come from one pass over the
+    scored rows, after the one that finds the quantiles.
+    """
+    rows = scored.select(
+        F.col(label).alias("label"),
+        positive_score().alias("score"),
+        (F.col(label) == F.col("prediction")).cast("bigint").alias("right"),
+        F.lit(1).cast("bigint").alias("scored_rows"),
+    )
+    accuracy_ = F.try_divide(F.col("right").cast("double"), F.col("scored_rows").cast("double"))
+    return _ranked(rows, "right", "scored_rows").select(
+        "auc", accuracy_.alias("accuracy"), "scored_rows"
     )
 
 
