@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tabloom.session import fresh_path
 from tabloom.sources.tables import read_table
 
-__all__ = ["fold", "lower_ascii", "read_table", "salted_join", "written"]
+__all__ = ["bind", "fold", "lower_ascii", "read_table", "salted_join", "written"]
 
 # A key with more than 1/WAYS of all rows is split; so at most WAYS keys are, and the
 # broadcast that names them has at most WAYS rows at any input size.
@@ -22,6 +23,15 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once per row.
+
+    The optimizer would otherwise move the expression into each lambda function that uses it, and
+    compute it again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def fold(key: Column, parts: int) -> Column:
     """crc32 of the key as text, modulo `parts`; null for a null key."""
     return F.crc32(key.cast("string")) % parts

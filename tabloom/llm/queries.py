@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabloom.llm.common import read_table
 from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
+from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,34 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_line_dedup(spark, folder):
+    cleaned = remove_repeats(read_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLE["op2_line_dedup"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+h AS (SELECT doc_id, lines, list_transform(lines, lambda x: md5(x)) AS marks FROM l),
+e AS (
+  SELECT doc_id, lines, list_filter(generate_series(1, len(lines)), lambda i:
+    i = len(lines) OR (i > 1 AND substr(md5(marks[i - 1] || marks[i]), 1, 1) < '5')) AS ends
+  FROM h),
+c AS (
+  SELECT doc_id, no, ends[no] - coalesce(ends[no - 1], 0) AS n,
+    array_to_string(lines[coalesce(ends[no - 1], 0) + 1 : ends[no]], chr(10)) AS body
+  FROM (SELECT doc_id, lines, ends, unnest(generate_series(1, len(ends))) AS no FROM e)),
+r AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY n > 1, body ORDER BY doc_id, no) > 1 AS gone FROM c),
+a AS (
+  SELECT doc_id, sum(n) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS removed_lines,
+    sha256(coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS text_sha256
+  FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines, text_sha256
+FROM documents LEFT JOIN a USING (doc_id)
+"""
+
+
 @query
 def op3_exact_dedup(spark, folder):
     return find_copies(read_table(spark, folder, "documents"), digest_all=True)
@@ -76,10 +105,10 @@ def op10_decontamination(spark, folder):
 
 ORACLE["op10_decontamination"] = """
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS words
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS words
   FROM documents),
 b AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS words
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS words
   FROM benchmark),
 gw AS (
   SELECT doc_id, n, array_to_string(words[n : n + 4], ' ') AS gram
