@@ -10,6 +10,7 @@ from tabloom.llm.common import read_table
 from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.line_dedup import remove_repeats
+from tabloom.llm.minhash import near_groups
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,36 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+@query
+def op6_minhash(spark, folder):
+    return near_groups(read_table(spark, folder, "documents"))
+
+
+ORACLE["op6_minhash"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN words ELSE words[n : n + 4] END AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, least(len(words), 1)))) AS n FROM w)),
+c AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept
+FROM documents d LEFT JOIN c USING (doc_id)
+JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) g USING (doc_id)
+"""
+
+
 @query
 def op7_url_filter(spark, folder):
     return judge_urls(read_table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
