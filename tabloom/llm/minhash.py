@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tabloom.llm.arrow import slices
 from tabloom.llm.common import salted_join, written
 from tabloom.llm.components import components
 
@@ -103,19 +104,9 @@ def _bands(signature: np.ndarray) -> np.ndarray:
         return _mixed(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def _pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Slices of about PIECE_BYTES of text, of one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes) // PIECE_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(sizes)]
-    for start, stop in zip(cuts, cuts[1:], strict=False):
-        if stop > start:
-            yield batch.slice(start, stop - start)
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in _pieces(batch, 1):
+        for piece in slices(batch, 1, PIECE_BYTES):
             sets = list(_shingle_sets(piece.column(1)))
             signatures = [_signature(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -140,7 +131,7 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in _pieces(batch, 1):
+        for piece in slices(batch, 1, PIECE_BYTES):
             held = [s.tobytes() for s in _shingle_sets(piece.column(1))]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(held, pa.binary())], ["id", "shingles"])
 

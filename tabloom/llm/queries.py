@@ -11,6 +11,7 @@ from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.minhash import near_groups
+from tabloom.llm.packing import pack_documents
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,11 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+@query
+def op4_packing(spark, folder):
+    return pack_documents(read_table(spark, folder, "documents"))
+
+
 @query
 def op6_minhash(spark, folder):
     return near_groups(read_table(spark, folder, "documents"))
