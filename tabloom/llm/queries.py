@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabloom.llm.common import read_table
 from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
+from tabloom.llm.language_id import identify
 from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
@@ -31,6 +32,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_language_id(spark, folder):
+    return identify(read_table(spark, folder, "documents"))
+
+
 @query
 def op2_line_dedup(spark, folder):
     cleaned = remove_repeats(read_table(spark, folder, "documents"))
