@@ -13,6 +13,7 @@ from tabloom.llm.language_id import identify
 from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.toxicity import score_toxicity
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,11 @@ def op4_packing(spark, folder):
     return pack_documents(read_table(spark, folder, "documents"))
 
 
+@query
+def op5_toxicity(spark, folder):
+    return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @query
 def op6_minhash(spark, folder):
     return near_groups(read_table(spark, folder, "documents"))
