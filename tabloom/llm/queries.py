@@ -13,6 +13,7 @@ from tabloom.llm.language_id import identify
 from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.quality import score_quality
 from tabloom.llm.toxicity import score_toxicity
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
@@ -146,6 +147,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 
+@query
+def op8_quality(spark, folder):
+    return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @query
 def op10_decontamination(spark, folder):
     found = leaked_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
