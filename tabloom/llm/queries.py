@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tabloom.llm.common import read_table
 from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
@@ -189,3 +190,12 @@ SELECT d.doc_id, count(l.item_id) > 0 AS leaked, count(l.item_id) AS n_items,
        coalesce(string_agg(CAST(l.item_id AS VARCHAR), ',' ORDER BY l.item_id), '') AS item_ids
 FROM documents d LEFT JOIN leaks l USING (doc_id) GROUP BY d.doc_id
 """
+
+
+@query
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -268,27 +268,34 @@ def _feature_rows(lexicon: Lexicon):
     return rows
 
 
-def _scorer(lexicon: Lexicon, forest: Forest, calibration: Calibration):
+@dataclass
+class Model:
+    lexicon: Lexicon
+    forest: Forest
+    calibration: Calibration
+
+    def worker(self) -> Model:
+        """A copy for one task, with a memory of words of its own."""
+        return Model(Lexicon(self.lexicon.weights), self.forest, self.calibration)
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        x = np.array([features(t or "", self.lexicon) for t in texts]).reshape(-1, len(FEATURES))
+        return np.clip(self.calibration(self.forest.raw(x)), 0.0, 1.0)
+
+
+def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(lexicon.weights)
+        own = model.worker()
         for batch in batches:
             for part in slices(batch, 1, PIECE_BYTES):
-                x = np.array([features(t or "", own) for t in part.column(1).to_pylist()]).reshape(-1, len(FEATURES))
-                found = np.clip(calibration(forest.raw(x)), 0.0, 1.0)
+                found = own.scores(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return score
 
 
-def score_toxicity(
-    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted), one row per row of `docs`.
-
-    Learns from at most MAX_LABELLED labelled rows whose crc32 of the id is not 0 modulo 5. Null and empty texts have the
-    features of no words and get a score like any text; without usable labels all scores are one half, or the share of
-    the one label there is. Rows without an id are scored and held out; repeated rows are scored each.
-    """
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str) -> Model:
+    """The model of the labelled rows of `docs`, without those held out."""
     sample = written(
         labelled_sample(docs, labels, label_col, MAX_LABELLED, id_col=id_col, text_col=text_col), "toxicity-sample"
     )
@@ -303,10 +310,40 @@ def score_toxicity(
     x, y, part = x[order], y[order], part[order]
     forest = grow(x[part < TREES_PART], y[part < TREES_PART])
     last = part >= TREES_PART
-    calibration = isotonic(forest.raw(x[last]), y[last])
+    return Model(lexicon, forest, isotonic(forest.raw(x[last]), y[last]))
+
+
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted), one row per row of `docs`.
+
+    Learns from at most MAX_LABELLED labelled rows whose crc32 of the id is not 0 modulo 5. Null and empty texts have the
+    features of no words and get a score like any text; without usable labels all scores are one half, or the share of
+    the one label there is. Rows without an id are scored and held out; repeated rows are scored each.
+    """
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col)
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _scorer(lexicon, forest, calibration), "doc_id long, score double"
+        _scorer(model), "doc_id long, score double"
     )
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` without the rows whose score is one half or more, judged where they stand: no shuffle.
+
+    Rows without an id are judged like all others.
+    """
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, label_col="toxic")
+    columns = docs.columns
+    place = columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model.worker()
+        for batch in batches:
+            for part in slices(batch, place, PIECE_BYTES):
+                yield part.filter(pa.array(own.scores(part.column(place).to_pylist()) < 0.5, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
