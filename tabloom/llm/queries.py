@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tabloom.llm.common import read_table
+from tabloom.llm.chat import learn, recover_turns, transcript_lines
+from tabloom.llm.common import fold, read_table
 from tabloom.llm.decontaminate import leaked_items
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.language_id import identify
@@ -153,6 +154,13 @@ def op8_quality(spark, folder):
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op9_chat_format(spark, folder):
+    """Learns from four fifths of the conversations, by the crc32 of their id, and parses them all."""
+    lines = transcript_lines(read_table(spark, folder, "conversations"))
+    return recover_turns(lines, learn(lines.where(fold(F.col("conv_id"), 5) != 0)))
+
+
 @query
 def op10_decontamination(spark, folder):
     found = leaked_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
