@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tabloom.session import fresh_path
 from tabloom.sources.tables import read_table
 
-__all__ = ["bind", "fold", "lower_ascii", "read_table", "salted_join", "written"]
+__all__ = ["bind", "fold", "lower_ascii", "maybe_in", "read_table", "salted_join", "written"]
+
+# Size of the filters that go to all tasks, in bits: 8 MB at most, whatever the input.
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 
 # A key with more than 1/WAYS of all rows is split; so at most WAYS keys are, and the
 # broadcast that names them has at most WAYS rows at any input size.
@@ -69,3 +72,38 @@ def salted_join(
     return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+
+
+def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "_maybe") -> DataFrame:
+    """`rows` with a boolean column: false only if the row's key is not among those of `members`.
+
+    A bitmap over the hashes of the keys, of eight bits a member up to MOST_BITS, is
+    broadcast in pages of 4 kB. Rows it rules out need no shuffle to learn that they have no partner; beyond about
+    MOST_BITS members it rules out less, and nothing else changes. `members` should be a written table.
+    """
+    bits = LEAST_BITS
+    count = members.count()
+    while bits < min(8 * count, MOST_BITS):
+        bits *= 2
+    slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    pages = (
+        members.select(slot.alias("_slot"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias("_page"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    )
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    looked_up = rows.withColumn("_page", F.bitmap_bucket_number(slot)).join(F.broadcast(pages), "_page", "left")
+    return looked_up.withColumn(flag, held).drop("_page", "_bits")
+
+
+def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """`docs` without the ids in `gone`, a written table of one column `id_col`; rows without an id stay.
+
+    Only rows that may be dropped are shuffled.
+    """
+    marked = maybe_in(docs, gone, [id_col])
+    doubtful = marked.where("_maybe").join(gone.hint("merge"), id_col, "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where("NOT _maybe").select(*columns).unionByName(doubtful.select(*columns))

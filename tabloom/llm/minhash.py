@@ -6,14 +6,15 @@ of a class is compared.
 
 1. A signature of 128 MinHash values in 32 bands of 4. A pair at similarity 0.75 shares no
    band with probability (1 - 0.75^4)^32 = 5e-6.
-2. In each bucket (band and value) every member is paired with one member, another one in each
-   band, so a bucket of m members gives m - 1 pairs. Signatures of a pair are
+2. In each bucket (band and value) every member is paired with two others: one drawn by hash, another one in each band,
+   and the one that shares most buckets with other documents, which is the original where
+   copies were edited apart. A bucket of m members gives less than 2 m pairs. Signatures of a pair are
    compared 32 values at a time; it is dropped once the posterior probability of a
    similarity of 0.75 (uniform prior) is below MISS. Of what survives, each document's best
    FIRST pairs are verified on the full sets.
 3. The links found so far join most documents of a bucket. All other pairs of a bucket that could join two
-   components - no cap - are compared in blocks of signatures, pruned alike and
-   verified.
+   components - no cap - are compared in blocks: pruned by their signatures, then verified on the full sets
+   where they stand, unless the block has joined their components by then.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabloom.llm.arrow import slices
-from tabloom.llm.common import salted_join, written
+from tabloom.llm.common import drop_ids, maybe_in, salted_join, written
 from tabloom.llm.components import components
 
 SHINGLE = 5
@@ -172,83 +173,103 @@ def _stack(column: pa.Array) -> np.ndarray:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, signatures of both) -> surviving (a, b, matches)."""
+    """(a, b, signatures of both, alone) -> surviving (a, b, matches, alone)."""
     for batch in batches:
         found = _matches(_stack(batch.column(2)), _stack(batch.column(3)))
         keep = found >= 0
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep)), pa.array(found[keep])],
-            ["a", "b", "matches"],
+            [
+                batch.column(0).filter(pa.array(keep)),
+                batch.column(1).filter(pa.array(keep)),
+                pa.array(found[keep]),
+                batch.column(4).filter(pa.array(keep)),
+            ],
+            ["a", "b", "matches", "alone"],
         )
 
 
+def _enough(left: np.ndarray, right: np.ndarray) -> bool:
+    common = len(np.intersect1d(left, right, assume_unique=True))
+    return OF * common >= SHARE * (len(left) + len(right) - common)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sets of both) -> linked (a, b)."""
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            left, right = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            common = len(np.intersect1d(left, right, assume_unique=True))
-            keep.append(OF * common >= SHARE * (len(left) + len(right) - common))
+            keep.append(_enough(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)))
         keep = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
 
 def _compare_blocks(table: pa.Table) -> pa.Table:
-    """All pairs of different components of two blocks that survive the comparison."""
+    """Links between two blocks that join components; fewer than the blocks have rows."""
     side = table.column("side").to_numpy()
     ids, labels = table.column("id").to_numpy(), table.column("label").to_numpy()
     signatures = _stack(table.column("signature"))
+    sets = table.column("shingles")
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    a, b = [], []
-    for i in left:
-        others = right[(labels[right] != labels[i]) & (ids[right] != ids[i])]
-        good = others[_matches(np.broadcast_to(signatures[i], (len(others), VALUES)), signatures[others]) >= 0]
-        a.append(np.full(len(good), ids[i]))
-        b.append(ids[good])
-    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+    component = {label: label for label in labels.tolist()}
+
+    def root(label: int) -> int:
+        while component[label] != label:
+            component[label] = label = component[component[label]]
+        return label
 
+    held: dict[int, np.ndarray] = {}
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def shingles(row: int) -> np.ndarray:
+        if row not in held:
+            if len(held) > 2 * BLOCK:
+                held.clear()
+            held[row] = np.frombuffer(sets[row].as_py(), np.uint64)
+        return held[row]
+
+    a, b = [], []
+    for i in left.tolist():
+        others = right[labels[right] != labels[i]]
+        near = others[_matches(np.broadcast_to(signatures[i], (len(others), VALUES)), signatures[others]) >= 0]
+        for j in near.tolist():
+            one, two = root(int(labels[i])), root(int(labels[j]))
+            if one != two and _enough(shingles(i), shingles(j)):
+                component[max(one, two)] = min(one, two)
+                a.append(int(ids[i]))
+                b.append(int(ids[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) of `pairs` that are linked, decided on the full sets."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    sets = written(wanted.mapInArrow(_sets, "id long, shingles binary"), "minhash-sets")
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
     return written(both.mapInArrow(_verify, "a long, b long"), "minhash-links")
 
 
-def _block_pairs(bands: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs of one bucket and two components, compared block by block.
+def _block_links(crowded: DataFrame, labels: DataFrame, compared: DataFrame) -> DataFrame:
+    """Links within one bucket and between two components, found block by block.
 
-    Members of a large component of a bucket get blocks of their own, so that no two blocks of
+    `crowded` has the members (key, id, n) of all buckets of n > 1 rows, `compared` signature and shingles of each
+    id. Members of a large component of a bucket get blocks of their own, so that no two blocks of
     one component are compared.
     """
-    placed = bands.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    placed = crowded.where("n > 2").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
-    # With two members the one pair there is was compared already.
-    mixed = written(mixed.where("x <> y AND n > 2").select("key", "n"), "minhash-mixed")
-    inside = written(salted_join(placed, mixed, ["key"], "n", F.col("id")).drop("n"), "minhash-inside")
-    sizes = inside.groupBy("key", "label").agg(F.count("*").alias("n"))
-    small = sizes.where(F.col("n") < BLOCK).groupBy("key").agg(F.sum("n").alias("small"))
-    large = sizes.where(F.col("n") >= BLOCK).select("key", "label", F.col("n").alias("large"))
-    # at most one row in BLOCK of `large`, and one per bucket of `small`
+    mixed = written(mixed.where("x <> y").select("key", "n"), "minhash-mixed")
+    inside = written(salted_join(placed, mixed, ["key"], "n", F.col("id")), "minhash-inside")
+    large = written(
+        inside.groupBy("key", "label").agg(F.count("*").alias("large")).where(F.col("large") >= BLOCK), "minhash-large"
+    )
+    owner = F.when(F.col("large").isNotNull(), F.col("label"))
+    parts = F.ceil(F.coalesce("large", "n") / BLOCK)
     members = written(
-        inside.join(large, ["key", "label"], "left")
-        .join(small, "key", "left")
-        .select(
-            "key",
-            "id",
-            "label",
-            F.when(F.col("large").isNotNull(), F.col("label")).alias("owner"),
-            F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("large", "small") / BLOCK)).cast("int").alias("part"),
+        salted_join(inside, large, ["key", "label"], "large", F.col("id"), "left").select(
+            "key", "id", "label", owner.alias("owner"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part")
         ),
         "minhash-members",
     )
-    blocks = members.groupBy("key", "owner", "part").agg(F.count("*").alias("n"))
+    blocks = members.select("key", "owner", "part").distinct()
     one = blocks.select("key", F.col("owner").alias("o1"), F.col("part").alias("p1"))
     two = blocks.select("key", F.col("owner").alias("o2"), F.col("part").alias("p2"))
     apart = (
@@ -258,20 +279,20 @@ def _block_pairs(bands: DataFrame, labels: DataFrame, signatures: DataFrame) ->
         | (F.col("o1") < F.col("o2"))
     )
     meetings = one.join(two, "key").where(apart)
-    same = members.join(signatures, "id")
-    left = same.join(
-        meetings, (same["key"] == meetings["key"]) & same["owner"].eqNullSafe(F.col("o1")) & (F.col("part") == F.col("p1"))
-    ).drop(meetings["key"]).withColumn("side", F.lit(0))
-    right = same.join(
-        meetings, (same["key"] == meetings["key"]) & same["owner"].eqNullSafe(F.col("o2")) & (F.col("part") == F.col("p2"))
-    ).drop(meetings["key"]).withColumn("side", F.lit(1))
-    return (
-        left.unionByName(right)
-        .select("key", "o1", "p1", "o2", "p2", "id", "label", "signature", "side")
-        .groupBy("key", "o1", "p1", "o2", "p2")
-        .applyInArrow(_compare_blocks, "a long, b long")
-        .distinct()
-    )
+    described = members.join(compared, "id")
+
+    def sided(number: int) -> DataFrame:
+        meet = meetings.withColumnRenamed("key", "bucket")
+        return described.join(
+            meet,
+            (F.col("key") == F.col("bucket"))
+            & F.col("owner").eqNullSafe(F.col(f"o{number}"))
+            & (F.col("part") == F.col(f"p{number}")),
+        ).select("bucket", "o1", "p1", "o2", "p2", "id", "label", "signature", "shingles", F.lit(number - 1).alias("side"))
+
+    both = sided(1).unionByName(sided(2))
+    links = both.groupBy("bucket", "o1", "p1", "o2", "p2").applyInArrow(_compare_blocks, "a long, b long")
+    return written(links.distinct(), "minhash-links")
 
 
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -301,47 +322,53 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
     bands = written(signatures.mapInArrow(_band_rows, "key long, id long"), "minhash-bands")
 
-    # The partner of a bucket: smallest hash of (id, key), so another one in each band.
-    draw = F.struct(F.xxhash64("id", "key").alias("draw"), "id")
-    buckets = written(
-        bands.groupBy("key").agg(F.count("*").alias("n"), F.min(draw)["id"].alias("partner")).where("n > 1"),
-        "minhash-buckets",
+    sizes = written(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-buckets")
+    crowded = written(salted_join(bands, sizes, ["key"], "n", F.col("id")), "minhash-crowded")
+    mates = crowded.groupBy("id").agg(F.sum("n").alias("mates"))
+    draw = F.struct(F.xxhash64("id", "key"), "id")
+    hub = F.struct("mates", "id")
+    partners = written(
+        crowded.join(mates, "id").groupBy("key").agg(
+            F.first("n").alias("n"), F.min(draw)["id"].alias("drawn"), F.max(hub)["id"].alias("hub")
+        ),
+        "minhash-partners",
     )
     stars = (
-        salted_join(bands, buckets, ["key"], "n", F.col("id"))
+        salted_join(crowded.drop("n"), partners, ["key"], "n", F.col("id"))
+        .select("id", "n", F.explode(F.array("drawn", "hub")).alias("partner"))
         .where("id <> partner")
-        .select("id", "partner")
-        .distinct()
+        .groupBy("id", "partner")
+        .agg((F.min("n") == 2).alias("alone"))
     )
     mine = signatures.select(F.col("id").alias("id"), F.col("signature").alias("x"))
     theirs = signatures.select(F.col("id").alias("partner"), F.col("signature").alias("y"))
-    compared = written(
-        stars.join(mine, "id").join(theirs, "partner").select("id", "partner", "x", "y")
-        .mapInArrow(_compare, "a long, b long, matches long"),
-        "minhash-stars",
+    compared = (
+        stars.join(mine, "id").join(theirs, "partner").select("id", "partner", "x", "y", "alone")
+        .mapInArrow(_compare, "a long, b long, matches long, alone boolean")
     )
-    # at most one partner per band in a window
+    # at most two partners per band in a window
     best = Window.partitionBy("a").orderBy(F.desc("matches"), "b")
-    ranked = compared.withColumn("place", F.row_number().over(best))
-    ranked = written(ranked, "minhash-ranked")
-    links = _linked(ranked.where(F.col("place") <= FIRST).select("a", "b"), texts)
-    joined = components(links)
-    joined = written(joined.select(F.col("node").alias("id"), F.col("component").alias("label")), "minhash-joined")
-
-    def labelled(pairs: DataFrame) -> DataFrame:
-        one = joined.select(F.col("id").alias("a"), F.col("label").alias("la"))
-        two = joined.select(F.col("id").alias("b"), F.col("label").alias("lb"))
-        both = pairs.join(one, "a", "left").join(two, "b", "left")
-        return both.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-
-    tested = ranked.where(F.col("place") <= FIRST).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = labelled(
-        ranked.where(F.col("place") > FIRST).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    ).unionByName(_block_pairs(bands, joined, signatures))
-    rest = written(rest.distinct().join(tested, ["a", "b"], "left_anti"), "minhash-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_linked(rest, texts))
-        joined = components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
+    ranked = written(compared.withColumn("place", F.row_number().over(best)), "minhash-stars")
+
+    ids = written(crowded.select("id").distinct(), "minhash-ids")
+    wanted = maybe_in(texts, ids, ["id"]).where("_maybe").drop("_maybe")
+    wanted = wanted.join(ids.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    sets = written(wanted.mapInArrow(_sets, "id long, shingles binary"), "minhash-sets")
+    links = _linked(ranked.where(F.col("place") <= FIRST), sets)
+
+    def joined_by(found: DataFrame, name: str) -> DataFrame:
+        labels = components(found).select(F.col("node").alias("id"), F.col("component").alias("label"))
+        return written(labels, name)
+
+    joined = joined_by(links, "minhash-joined")
+    one = joined.select(F.col("id").alias("a"), F.col("label").alias("la"))
+    two = joined.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    # pairs that are a whole bucket are not seen by the blocks
+    rest = ranked.where((F.col("place") > FIRST) & F.col("alone")).join(one, "a", "left").join(two, "b", "left")
+    rest = rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
+    more = _linked(rest, sets).unionByName(_block_links(crowded, joined, signatures.join(sets, "id")))
+    if not more.isEmpty():
+        joined = joined_by(links.unionByName(more), "minhash-joined")
 
     named = written(classes.join(joined, "id", "left").select("digest", "n", F.coalesce("label", "id").alias("label")), "minhash-named")
     grouped = salted_join(signed.drop("signature"), named, ["digest"], "n", F.col("doc_id"), "left")
@@ -357,4 +384,4 @@ def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         near_groups(docs, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(),
         "minhash-gone",
     )
-    return docs.join(gone, id_col, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return drop_ids(docs, gone, id_col)
