@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import lower_ascii, salted_join, written
+from tabloom.llm.common import lower_ascii, maybe_in, salted_join, written
 
 PREFIX_CHARS = 64
 
@@ -82,10 +82,18 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Of rows that repeat the kept id and its text one stays. Rows without an id are kept.
     """
-    columns = docs.columns
-    dropped = find_copies(docs, id_col=id_col, text_col=text_col, digest_all=True)
-    keepers = dropped.where("kept").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias("_digest"))
-    marked = docs.where(F.col(id_col).isNotNull()).withColumn("_digest", F.sha2(lower_ascii(_text(text_col)), 256))
-    # Both steps share one exchange and one sort of the documents.
-    kept = marked.join(keepers, [id_col, "_digest"], "left_semi").dropDuplicates([id_col, "_digest"])
-    return kept.select(*(F.col(f"`{c}`") for c in columns)).unionByName(docs.where(F.col(id_col).isNull()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = find_copies(docs, id_col=id_col, text_col=text_col, digest_all=True)
+    # only rows of a group of copies are shuffled
+    copies = written(
+        found.where("group_size > 1").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias("_digest"), "kept"),
+        "copies-found",
+    )
+    digest = F.sha2(lower_ascii(_text(text_col)), 256)
+    marked = maybe_in(docs.withColumn("_digest", digest), copies, [id_col, "_digest"])
+    doubtful = marked.where("_maybe").join(copies.hint("merge"), [id_col, "_digest"], "left")
+    doubtful = doubtful.where("coalesce(kept, true)")
+    # rows that repeat an id and its text have one partner each in `copies`, and more than one in the join
+    single = doubtful.where("kept IS NULL").select(*columns)
+    kept = doubtful.where("kept").dropDuplicates([id_col, "_digest"]).select(*columns)
+    return marked.where("NOT _maybe").select(*columns).unionByName(single).unionByName(kept)
