@@ -3,13 +3,16 @@
 BENCH_SF_DIR  folder of the input tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_QUERIES comma-separated names (default: the headline list)
+BENCH_SHARED  folder for derived tables and checkpoints (default: a temporary one, removed at the end)
 """
 
 from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,12 +48,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
+    shared = os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "tabloom-bench",
         f"local[{cpus}]",
         **{
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": shared,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -68,7 +73,10 @@ def main() -> None:
         timed(f"derive_{table.__name__}", lambda t=table: t(spark, folder))
     for name in names:
         timed(name, lambda q=QUERIES[name]: q(spark, folder).write.format("noop").mode("overwrite").save())
+    derived.release(spark)
     spark.stop()
+    if not os.environ.get("BENCH_SHARED"):
+        shutil.rmtree(shared)
     print(
         json.dumps(
             {

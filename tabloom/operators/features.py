@@ -11,16 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.ranking import with_position
 from tabloom.operators.profile import value_counts
+from tabloom.session import fresh_path
 
 INDEXED = "_ind"
 ENCODED = "_indE"
 
-# Labels brought to the driver, for all columns together. Columns that do not
-# fit are indexed by a join with their dictionary table instead.
+# Labels brought to the driver, for all columns together, where the caller names no other
+# number. Columns that do not fit are indexed by a join with their dictionary table instead,
+# with the same result.
 MAX_DRIVER_LABELS = 100_000
-# Most frequent labels of such a dictionary that are broadcast. Any label behind
-# them is rarer than each of them, so no key of the shuffled rest is hot.
-BROADCAST_LABELS = 10_000
+# A value with more than 1/SETTLED of a column's rows is looked up by broadcast; there are
+# at most SETTLED of them in a column, and no other key of the join is hot.
+SETTLED = 1000
 
 
 @dataclass(frozen=True)
@@ -37,9 +39,7 @@ class StringDictionary:
             df = StringIndexerModel.from_labels(
                 labels, inputCol=column, outputCol=column + INDEXED, handleInvalid="keep"
             ).transform(df)
-        for column, dictionary in self.large.items():
-            df = _index_by_join(df, column, dictionary, self.sizes[column])
-        return df
+        return _index_by_join(df, self.large, self.sizes) if self.large else df
 
 
 def fit_string_index(
@@ -82,32 +82,61 @@ def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _index_by_join(
-    df: DataFrame, column: str, dictionary: DataFrame, size: int, head: int = BROADCAST_LABELS
+    df: DataFrame, dictionaries: Mapping[str, DataFrame], sizes: Mapping[str, int]
 ) -> DataFrame:
-    """Index a column whose dictionary does not fit in one task.
+    """Index columns whose dictionaries do not fit on the driver.
 
-    Hot labels, nulls and unseen hot misses never enter the shuffle: the head
-    of the dictionary (at most `head` rows) is broadcast, and only non-null
-    values behind it are joined by key.
+    The frequent values of the table itself, seen or unseen, are counted first, in one
+    pass for all columns, and looked up by broadcast. Settled rows and nulls go through
+    the join under a key of their own that matches nothing and is spread by the hash
+    of the row. The input stands once in the plan, whatever the number of columns.
     """
-    output = column + INDEXED
-    nominal = {"ml_attr": {"type": "nominal", "num_vals": size + 1, "name": output}}
+    frequent = _frequent_values(df, dictionaries, sizes)
     names = df.columns
-
-    def side(table: DataFrame) -> DataFrame:
-        return table.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
-
-    hot = side(dictionary.filter(F.col("index") < head))
-    looked_up = df.join(F.broadcast(hot), F.col(column) == F.col("_value"), "left").drop("_value")
-    done = F.col("_index").isNotNull() | F.col(column).isNull()
-    settled = looked_up.filter(done)
-    rest = looked_up.filter(~done).drop("_index")
-    cold = side(dictionary.filter(F.col("index") >= head))
-    joined = rest.join(cold, F.col(column) == F.col("_value"), "left").drop("_value")
-    return settled.unionByName(joined).select(
-        *(F.col(f"`{c}`") for c in names),
-        F.coalesce("_index", F.lit(float(size))).alias(output, metadata=nominal),
-    )
+    spread = F.xxhash64(*(F.col(f"`{c}`") for c in names))
+    for column, dictionary in dictionaries.items():
+        output = column + INDEXED
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": sizes[column] + 1, "name": output}}
+        settled = frequent.filter(F.col("column") == column).select(
+            F.col("value").alias("_value"), F.col("index").alias("_settled")
+        )
+        looked_up = df.join(F.broadcast(settled), F.col(column) == F.col("_value"), "left").drop("_value")
+        open_ = F.col("_settled").isNull() & F.col(column).isNotNull()
+        keyed = looked_up.withColumn(
+            "_key",
+            F.when(open_, F.concat(F.lit("v"), F.col(column))).otherwise(F.concat(F.lit("-"), spread.cast("string"))),
+        )
+        known = dictionary.select(F.concat(F.lit("v"), F.col("value")).alias("_key"), F.col("index").alias("_index"))
+        index = F.coalesce("_settled", "_index", F.lit(float(sizes[column])))
+        df = keyed.join(known, "_key", "left").select(
+            *(F.col(f"`{c}`") for c in df.columns), index.alias(output, metadata=nominal)
+        )
+    return df
+
+
+def _frequent_values(
+    df: DataFrame, dictionaries: Mapping[str, DataFrame], sizes: Mapping[str, int]
+) -> DataFrame:
+    """(column, value, index) of the values above 1/SETTLED of a column's rows, as a written table."""
+    counts = value_counts(df, list(dictionaries)).filter(F.col("value").isNotNull())
+    # one row per column
+    totals = counts.groupBy("column").agg(F.sum("count").alias("_rows"))
+    hot = counts.join(F.broadcast(totals), "column").filter(F.col("count") * SETTLED > F.col("_rows"))
+    path = fresh_path(df.sparkSession, "frequent-values")
+    hot.select("column", "value").write.parquet(path)
+    hot = df.sparkSession.read.parquet(path)
+    parts = [
+        hot.filter(F.col("column") == column)
+        .join(dictionary, "value", "left")
+        .select("column", "value", F.coalesce("index", F.lit(float(sizes[column]))).alias("index"))
+        for column, dictionary in dictionaries.items()
+    ]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    path = fresh_path(df.sparkSession, "frequent-indexes")
+    union.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def one_hot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -152,3 +181,25 @@ def vector_elements(vector: str, names: Iterable[str]) -> list[Column]:
     """The elements of a vector column as named double columns."""
     array = vector_to_array(vector)
     return [array[i].alias(name) for i, name in enumerate(names)]
+
+
+def vector_size(vector: str) -> Column:
+    """Number of elements, from the stored form of a vector; nothing is made dense."""
+    stored = F.unwrap_udt(vector)
+    return F.coalesce(stored["size"], F.size(stored["values"]))
+
+
+def hot_positions(vector: str) -> Column:
+    """Positions of the non-zero elements, in order, from the stored form of a vector."""
+    stored = F.unwrap_udt(vector)
+    # a dense vector has no list of positions
+    places = F.coalesce(stored["indices"], F.sequence(F.lit(0), F.size(stored["values"]) - 1))
+    pairs = F.arrays_zip(places.alias("place"), stored["values"].alias("value"))
+    return F.transform(F.filter(pairs, lambda p: p["value"] != 0), lambda p: p["place"])
+
+
+def vector_element(vector: str, position: Column) -> Column:
+    """One element of a vector, from its stored form."""
+    stored = F.unwrap_udt(vector)
+    sparse = F.coalesce(F.get(stored["values"], F.nullif(F.array_position(stored["indices"], position), F.lit(0)).cast("int") - 1), F.lit(0.0))
+    return F.when(stored["indices"].isNull(), F.get(stored["values"], position)).otherwise(sparse)

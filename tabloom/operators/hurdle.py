@@ -21,6 +21,10 @@ class HurdleModel:
     def classify(self, df: DataFrame) -> DataFrame:
         return self.classifier.transform(df)
 
+    def apply(self, df: DataFrame) -> DataFrame:
+        """All rows with the class, and the amount the regression gives whatever the class is."""
+        return self.regressor.transform(self.classify(df))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Rows the classifier marks 1, with the predicted amount; other rows are not scored."""
         return self.regressor.transform(predicted_positive(self.classify(df)))

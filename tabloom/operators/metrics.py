@@ -6,7 +6,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_BUCKETS = 4096
+from tabloom.session import fresh_path
+
+# Ranges of scores that are ranked side by side. More of them split a larger number of distinct scores finer.
+BUCKETS = 256
 
 
 def positive_score(vector: str = "rawPrediction") -> Column:
@@ -14,7 +17,9 @@ def positive_score(vector: str = "rawPrediction") -> Column:
     return vector_to_array(vector)[1]
 
 
-def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def auc_roc(
+    scored: DataFrame, label: str = "label", score: str = "score", buckets: int = BUCKETS
+) -> DataFrame:
     """Area under the ROC curve, exact with ties: the share of (1, 0) pairs ranked rightly.
 
     Rows with equal scores meet in the partial aggregate, so a hot score is one
@@ -22,35 +27,40 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     lower. Quantiles of the score cut its range into buckets: a window inside
     each bucket counts the zeros there, and the zeros of all earlier buckets
     are added for the bucket as a whole, over one row per bucket. The quantiles
-    only balance the buckets; any cut gives the same area. Null when a class is
-    absent.
+    are those of the distinct scores, so the buckets hold equal shares of what the
+    windows work on, however many rows share a score. The counts by score are
+    written to the shared folder first, so the rows are scored once. Null when a
+    class is absent.
     """
     rows = scored.select(F.col(label).alias("label"), F.col(score).cast("double").alias("score"))
-    return _ranked(rows).select("auc")
+    return _ranked(rows, buckets).select("auc")
 
 
-def _ranked(rows: DataFrame, *totals: str) -> DataFrame:
-    """One row: the AUC of (label, score), and the sums of further columns on the way."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(partitions, MAX_BUCKETS))
-    cuts = rows.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
-    splits = [float("-inf"), *sorted(set(cuts) - {float("inf"), float("-inf")}), float("inf")]
-    sums = [F.sum(t).alias(t) for t in totals]
-    by_score = rows.groupBy("score").agg(
+def by_score(rows: DataFrame, buckets: int, *totals: str) -> DataFrame:
+    """(score, ones, zeros, totals, bucket): one row per distinct score, in buckets of about equal numbers of them."""
+    path = fresh_path(rows.sparkSession, "by-score")
+    rows.groupBy("score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("ones"),
         F.count_if(F.col("label") == 0).cast("double").alias("zeros"),
-        *sums,
-    )
-    if len(splits) > 2:
-        bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
-        by_score = bucketizer.transform(by_score).withColumn("bucket", F.col("bucket").cast("int"))
-    else:
-        by_score = by_score.withColumn("bucket", F.lit(0))
+        *(F.sum(t).alias(t) for t in totals),
+    ).write.parquet(path)
+    counts = rows.sparkSession.read.parquet(path)
+    cuts = counts.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
+    inner = sorted(set(cuts) - {float("inf"), float("-inf")}) or [0.0]
+    splits = [float("-inf"), *inner, float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
+    return bucketizer.transform(counts).withColumn("bucket", F.col("bucket").cast("int"))
+
+
+def _ranked(rows: DataFrame, buckets: int, *totals: str) -> DataFrame:
+    """One row: the AUC of (label, score), and the sums of further columns on the way."""
+    sums = [F.sum(t).alias(t) for t in totals]
+    counts = by_score(rows, buckets, *totals)
     inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     lower = F.coalesce(F.sum("zeros").over(inside), F.lit(0.0))
-    # at most MAX_BUCKETS + 1 rows from here on
+    # one row per bucket from here on
     by_bucket = (
-        by_score.withColumn("won", F.col("ones") * (lower + F.col("zeros") / 2))
+        counts.withColumn("won", F.col("ones") * (lower + F.col("zeros") / 2))
         .groupBy("bucket")
         .agg(F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), *sums)
     )
@@ -89,7 +99,7 @@ def classification_report(scored: DataFrame, label: str = "label") -> DataFrame:
     """(auc, accuracy, scored_rows) of a classifier's output.
 
     Model scoring is the costly part, so all three come from one pass over the
-    scored rows, after the one that finds the quantiles.
+    scored rows.
     """
     rows = scored.select(
         F.col(label).alias("label"),
@@ -98,7 +108,7 @@ def classification_report(scored: DataFrame, label: str = "label") -> DataFrame:
         F.lit(1).cast("bigint").alias("scored_rows"),
     )
     accuracy_ = F.try_divide(F.col("right").cast("double"), F.col("scored_rows").cast("double"))
-    return _ranked(rows, "right", "scored_rows").select(
+    return _ranked(rows, BUCKETS, "right", "scored_rows").select(
         "auc", accuracy_.alias("accuracy"), "scored_rows"
     )
 
@@ -108,3 +118,20 @@ def regression_report(scored: DataFrame, target: str, prediction: str = "predict
     return scored.agg(
         _mse(target, prediction), _mae(target, prediction), F.count("*").alias("scored_rows")
     )
+
+
+def two_stage_report(
+    applied: DataFrame, label: str, target: str, prediction: str = "combo_prediction"
+) -> DataFrame:
+    """(accuracy, mse, mae, scored_rows) of rows that went through both stages, in one pass.
+
+    The accuracy covers all rows; errors and count only those predicted to be positive.
+    """
+    positive = F.col("prediction") == 1
+    error = F.when(positive, F.col(target) - F.col(prediction))
+    return applied.agg(
+        _accuracy(label, "prediction"),
+        F.avg(F.pow(error, 2)).alias("mse"),
+        F.avg(F.abs(error)).alias("mae"),
+        F.count_if(positive).alias("scored_rows"),
+    )

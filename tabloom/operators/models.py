@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
@@ -13,7 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.config import BOOSTED, ELASTIC_NET, FOREST, FOREST_DEEP, GAUSSIAN_GLM, SEED
 from tabloom.session import shared_folder
 
-ROWS_PER_PARTITION = 250_000
+# The normal equations of the generalized linear model hold one cell for each pair of
+# features on the driver; the library refuses more features than this.
+MAX_GLM_FEATURES = 4096
 
 
 def forest(features: str = "features", label: str = "label", **settings) -> RandomForestClassifier:
@@ -59,16 +60,20 @@ def fit(estimator: Estimator, train: DataFrame) -> Model:
     """Fit on rows laid out by the caller.
 
     Boosting cuts its lineage every few rounds, for which the shared folder must be set.
+    A generalized linear model of too many features is refused before any row is read.
     """
     shared_folder(train.sparkSession)
+    if isinstance(estimator, GeneralizedLinearRegression):
+        attributes = train.schema[estimator.getFeaturesCol()].metadata.get("ml_attr", {})
+        width = attributes.get("num_attrs", 0)
+        if width > MAX_GLM_FEATURES:
+            raise ValueError(
+                f"{width} features are too many for a generalized linear model (at most {MAX_GLM_FEATURES}): "
+                "prune or group categories, or fit a linear regression"
+            )
     return estimator.fit(train)
 
 
-def fit_partitions(rows: int, partitions: int) -> int:
-    """Partitions for data that many small fits share: by rows, never more than there are."""
-    return max(1, min(partitions, math.ceil(rows / ROWS_PER_PARTITION)))
-
-
 def feature_importance(model: Model, names: Sequence[str], spark) -> DataFrame:
     """(feature, importance) for every feature, zeros included; one row per model input."""
     values = model.featureImportances.toArray()

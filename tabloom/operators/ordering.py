@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.functions.hashing import row_hash
+from tabloom.functions.hashing import row_digest
 from tabloom.functions.ranking import with_position
 
 
@@ -14,13 +14,16 @@ def sort_by_count(counts: DataFrame) -> DataFrame:
 
 
 def top_1(counts: DataFrame) -> DataFrame:
-    """The last row of the ascending sort, found without sorting."""
-    return counts.orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()).limit(1)
+    """The last row of each column's ascending sort, found by an aggregate; the smallest value wins a tie."""
+    best = F.min(F.struct((-F.col("count")).alias("less"), F.col("value").isNull().alias("none"), "value"))
+    return counts.groupBy("column").agg(best.alias("best")).select(
+        "column", F.col("best.value").alias("value"), (-F.col("best.less")).alias("count")
+    )
 
 
 def shuffle_rows(df: DataFrame, key: str, salt: str = "shuffle") -> DataFrame:
     """A reproducible permutation: rows in order of the hash of their key, numbered from 1."""
-    return with_position(df, row_hash(salt, key), F.col(key))
+    return with_position(df, row_digest(salt, key), F.col(key))
 
 
 def shuffle_rows_rng(df: DataFrame, seed: int) -> DataFrame:

@@ -14,11 +14,13 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.config import FIT_PARALLELISM, FOLDS
-from tabloom.operators.models import fit_partitions
 from tabloom.operators.sampling import with_fold
 from tabloom.session import shared_folder
 
 
+TUNING_PARTITIONS = 4
+
+
 def param_grid(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]:
     """All combinations of the named settings."""
     builder = ParamGridBuilder()
@@ -105,25 +107,24 @@ def cross_validate(
     folds: int = FOLDS,
     parallelism: int = FIT_PARALLELISM,
     evaluator: BinaryClassificationEvaluator | None = None,
+    partitions: int = TUNING_PARTITIONS,
 ) -> Tuned:
     """Score every grid point on every fold, refit the best on all rows.
 
     The folds are a filter on the row hash. All fits of a run read one persisted
-    table, packed into as many partitions as its rows need: a small subsample is
-    not cut into thousands of tiny tasks per tree level. Fits run side by side,
+    table, dealt by the hash of the row key into `partitions` sorted partitions: raise it with
+    the size of the subsample. A forest's bootstrap follows the layout, so the same rows and
+    `partitions` give the same search whatever the layout they came in. Fits run side by side, each
+    with a copy of its two thirds of the rows in the library's own form,
     and boosted grid points that differ in the rounds alone share one.
     """
     shared_folder(train.sparkSession)
     evaluator = evaluator or exact_auc(estimator.getLabelCol())
     maps = param_grid(estimator, grid)
-    folded = with_fold(train, key, folds).persist(StorageLevel.MEMORY_AND_DISK)
-    packed = None
+    packed = with_fold(train, key, folds).repartition(partitions, key).sortWithinPartitions(key)
+    packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = folded.count()
-        packed = folded.coalesce(fit_partitions(rows, folded.rdd.getNumPartitions()))
-        packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
         packed.count()
-        folded.unpersist()
         scores = [[0.0] * folds for _ in maps]
 
         def run(task: tuple[int, list[int]]) -> None:
@@ -143,6 +144,4 @@ def cross_validate(
         model = estimator.fit(packed, maps[best])
         return Tuned(maps, scores, best, model)
     finally:
-        folded.unpersist()
-        if packed is not None:
-            packed.unpersist()
+        packed.unpersist()

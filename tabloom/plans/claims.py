@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from tabloom.config import CLAIMS, MISSING_LIMIT_PCT, ClaimsRoles
 from tabloom.functions.missing import is_missing_text
 from tabloom.operators.columns import cast_double, derive_binary_label, drop_columns
-from tabloom.operators.features import StringDictionary, assemble, encode_categories, fit_string_index
+from tabloom.operators.features import MAX_DRIVER_LABELS, StringDictionary, assemble, encode_categories, fit_string_index
 from tabloom.operators.filters import drop_any_missing
 from tabloom.operators.hurdle import HurdleModel, hurdle_regression
 from tabloom.operators.impute import IMPUTED, fill_mean, fill_mode
-from tabloom.operators.metrics import accuracy, regression_report
+from tabloom.operators.metrics import regression_report, two_stage_report
 from tabloom.operators.models import elastic_net, fit, forest_deep, gaussian_glm
 from tabloom.operators.profile import (
     category_summary,
@@ -93,12 +93,14 @@ def fit_claims_preparation(
     roles: ClaimsRoles = CLAIMS,
     limit: float = MISSING_LIMIT_PCT,
     prune_continuous: bool = False,
+    max_labels: int = MAX_DRIVER_LABELS,
 ) -> ClaimsPreparation:
     """Two scans: one counts the values of all categories, one profiles all numbers.
 
     Missing rates, modes and index labels all follow from the value counts: the
     mode leads the frequency order, so filling gaps with it leaves the order as
-    it is. Pruning continuous columns by their missing rate is optional; their
+    it is. At most `max_labels` labels of all categories together are brought to the
+    driver; columns beyond that are indexed by joins, with the same result. Pruning continuous columns by their missing rate is optional; their
     rates are reported either way.
     """
     counts = value_counts(raw, roles.categorical).persist(StorageLevel.MEMORY_AND_DISK)
@@ -109,6 +111,7 @@ def fit_claims_preparation(
         dictionary = fit_string_index(
             counts.filter(~is_missing_text("value")),
             [c for c in roles.nominal if c in modes],
+            max_labels,
             sizes={c: r["labels"] for c, r in summary.items()},
         )
     finally:
@@ -203,11 +206,7 @@ class TwoStageResult:
 
     def report(self) -> DataFrame:
         """(accuracy, mse, mae, scored_rows); the errors cover only rows predicted to be claims."""
-        errors = regression_report(self.scored(), self.roles.target, "combo_prediction")
-        return errors.select(
-            accuracy(self.classified(), self.roles.label).scalar().alias("accuracy"),
-            "mse", "mae", "scored_rows",
-        )
+        return two_stage_report(self.model.apply(self.test), self.roles.label, self.roles.target)
 
 
 def regress_claims_two_stage(rows: Balanced, roles: ClaimsRoles = CLAIMS) -> TwoStageResult:

@@ -38,12 +38,12 @@ def _columns(exprs: dict[str, str]) -> str:
 
 BASE = f"""WITH keyed AS (SELECT *, {ROW_ID_SQL} AS row_id FROM lineitem),
 hashed AS (SELECT *,
-  {_list(f"{_hex(salt, 1, 8)} % 1000000 AS {name}" for name, salt in HASHES.items())},
+  {_list(f"{_hex(salt, 1, 15)}{' % 1000000' * (name in ('m', 'n'))} AS {name}" for name, salt in HASHES.items())},
   {_list(f"{_hex(salt, start, 15)} AS {name}" for name, (salt, start) in WORDS.items())}
   FROM keyed)"""
 
 SIGNAL = f"""{BASE},
-signal AS (SELECT row_id, sp, fold_hash, small, under, sh,
+signal AS (SELECT row_id, sp, fold_hash, small, under,
   {_columns(SIGNAL_SQL)} FROM hashed)"""
 
 SIGNAL_TEXT = f"""{BASE},
@@ -128,7 +128,7 @@ labelled AS (SELECT * FROM numbers WHERE Claim_Amount IS NOT NULL AND NVVar2 IS
   AND Var5 IS NOT NULL AND NVVar1 IS NOT NULL)"""
 _labelled = "Row_ID, Claim_Amount, binaryclaim, NVVar2, Var5, NVVar1"
 ORACLE["filter_train_positive"] = (
-    f"{LABELLED} SELECT {_labelled} FROM labelled WHERE sp < 700000 AND binaryclaim = 1"
+    f"{LABELLED} SELECT {_labelled} FROM labelled WHERE sp < 807045053224792832 AND binaryclaim = 1"
 )
 ORACLE["filter_predicted_positive"] = (
     f"{LABELLED} SELECT {_labelled}, 1.0E0 AS prediction FROM labelled WHERE NVVar1 >= 84"
@@ -178,7 +178,16 @@ _filled = {
 }
 FILLED = f"""{MODES},
 filled AS (SELECT Row_ID, sp, under, Claim_Amount, {_continuous}, {_columns(_filled)} FROM claims)"""
-ORACLE["value_counts_imputed"] = f"{FILLED} {_value_counts('filled', KEPT_CATEGORICAL)}"
+# Which columns are kept is decided here as well, by their rate of missing values.
+_kept_filled = " UNION ALL ".join(
+    f"""SELECT Row_ID, '{c}' AS "column", CASE WHEN {_present(c)} THEN {c} ELSE (SELECT {c} FROM claims
+  WHERE {_present(c)} GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) END AS value FROM claims
+  WHERE (SELECT {_pct.format(f"{c} IS NULL OR {c} = '?'")} FROM claims) < {MISSING_LIMIT_PCT:.1f}E0"""
+    for c in CLAIMS.categorical
+)
+ORACLE["impute_mode"] = f"{CLAIMS_CTE} {_kept_filled}"
+ORACLE["value_counts_imputed"] = f"""{CLAIMS_CTE},
+filled AS ({_kept_filled}) SELECT "column", value, count(*) AS count FROM filled GROUP BY ALL"""
 ORACLE["most_common_value"] = f"{CLAIMS_CTE} " + " UNION ALL ".join(
     f"""(SELECT '{c}' AS "column", {c} AS value, count(*) AS count FROM claims WHERE {_present(c)}
   GROUP BY {c} ORDER BY count DESC, value LIMIT 1)"""
@@ -210,28 +219,34 @@ counts AS ({_value_counts('claims', CLAIMS.categorical)})
 SELECT "column", value, count,
   row_number() OVER (ORDER BY "column", count, value NULLS FIRST) AS position FROM counts"""
 ORACLE["shuffle_rows"] = f"""{SIGNAL}
-SELECT row_id, label, row_number() OVER (ORDER BY sh, row_id) AS position FROM signal"""
+SELECT row_id, label, row_number() OVER (ORDER BY md5(concat('shuffle:', row_id)), row_id) AS position FROM signal"""
 ORACLE["top_1"] = f"""{CLAIMS_CTE},
-counts AS ({_value_counts('claims', ['Cat9'])})
-SELECT "column", value, count FROM counts ORDER BY count DESC, value NULLS LAST LIMIT 1"""
+counts AS ({_value_counts('claims', CLAIMS.categorical)})
+""" + " UNION ALL ".join(
+    f"""(SELECT "column", value, count FROM counts WHERE "column" = '{c}'
+  ORDER BY count DESC, value NULLS LAST LIMIT 1)"""
+    for c in CLAIMS.categorical
+)
+ORACLE["shuffle_rows_rng"] = f"{SIGNAL} SELECT row_id, label FROM signal"
 
 # --- sampling and union ---
 
-_part = "CASE WHEN sp < 700000 THEN 'train' ELSE 'test' END AS part"
+_part = "CASE WHEN sp < 807045053224792832 THEN 'train' ELSE 'test' END AS part"
 ORACLE["split_train_test"] = f"{SIGNAL} SELECT row_id, label, {_part} FROM signal"
-ORACLE["subsample_small"] = f"{SIGNAL} SELECT row_id, label, {_part} FROM signal WHERE small < 50000"
-ORACLE["sample_fraction"] = f"{SIGNAL} SELECT row_id, label FROM signal WHERE label = 0 AND under < 250000"
+ORACLE["subsample_small"] = f"{SIGNAL} SELECT row_id, label, {_part} FROM signal WHERE small < 57646075230342352"
 BALANCED = f"""{FACTOR},
 balanced AS (SELECT * FROM labelled WHERE binaryclaim = 1
-  OR (binaryclaim = 0 AND under < 1000000 / (SELECT CAST(factor AS DOUBLE) FROM factor)))"""
+  OR (binaryclaim = 0 AND under < floor(1152921504606846976.0E0 * (1.0E0 / (SELECT CAST(factor AS DOUBLE) FROM factor)))))"""
+ORACLE["sample_fraction"] = f"""{FACTOR}
+SELECT Row_ID, binaryclaim FROM labelled WHERE binaryclaim = 0
+  AND under < floor(1152921504606846976.0E0 * (1.0E0 / (SELECT CAST(factor AS DOUBLE) FROM factor)))"""
 ORACLE["undersample_majority"] = f"{BALANCED} SELECT Row_ID, binaryclaim FROM balanced"
 ORACLE["union_all"] = f"""{SIGNAL}
-SELECT row_id, label FROM signal WHERE small < 50000
+SELECT row_id, label FROM signal WHERE small < 57646075230342352
 UNION ALL SELECT row_id, label FROM signal WHERE label = 1"""
 
 # --- features ---
 
-ORACLE["impute_mode"] = f"{FILLED} SELECT Row_ID, {', '.join(KEPT_CATEGORICAL)} FROM filled"
 _means = {c: f"(SELECT avg({_number(c)}) FROM claims)" for c in CLAIMS.continuous}
 _imputed = {f"{c}_imp": f"coalesce({_number(c)}, {_means[c]})" for c in CLAIMS.continuous}
 ORACLE["impute_mean"] = (
@@ -258,6 +273,7 @@ ORACLE["string_index"] = (
     + _list(f"CAST(i_{c} AS DOUBLE) AS {c}_ind" for c in KEPT_NOMINAL)
     + " FROM prepared"
 )
+ORACLE["string_index_by_join"] = ORACLE["string_index"]
 ORACLE["one_hot_encode"] = (
     f"{PREPARED} SELECT Row_ID, "
     + _list(f"concat(i_{c}, '/', w_{c}) AS {c}_hot" for c in KEPT_NOMINAL)
@@ -286,7 +302,7 @@ ORACLE["prepare_signal"] = f"{_typed_signal} SELECT row_id, label, {_elements} F
 
 _score = f"round(2 * {_q(PAIR[0])} / 50 + {_q(PAIR[1])} / 50000, 2)"
 SCORED = f"""{SIGNAL},
-scored AS (SELECT label, {_score} AS score, CASE WHEN {_score} > 1.8E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction
+scored AS (SELECT label, under, {_score} AS score, CASE WHEN {_score} > 1.8E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction
   FROM signal)"""
 
 
@@ -299,6 +315,9 @@ def _auc(table: str, score: str, label: str = "label", where: str = "") -> str:
 
 
 ORACLE["auc_roc"] = f"{SCORED}, area AS ({_auc('scored', 'score')}) SELECT round(auc, 9) AS auc FROM area"
+ORACLE["auc_roc_hot_score"] = f"""{SCORED},
+hot AS (SELECT label, CASE WHEN under % 100 = 0 THEN score ELSE 1.0E0 END AS score FROM scored),
+area AS ({_auc('hot', 'score')}) SELECT round(auc, 9) AS auc FROM area"""
 ORACLE["accuracy"] = f"""{SCORED}
 SELECT round(avg(CASE WHEN label = prediction THEN 1.0E0 ELSE 0.0E0 END), 6) AS accuracy FROM scored"""
 ORACLE["mse"] = f"{SCORED} SELECT round(avg((label - score) * (label - score)), 6) AS mse FROM scored"
@@ -309,7 +328,7 @@ ORACLE["mae"] = f"{SCORED} SELECT round(avg(abs(label - score)), 6) AS mae FROM
 _grid = [(d, b, s) for d in FOREST_GRID["maxDepth"] for b in FOREST_GRID["maxBins"]
          for s in FOREST_GRID["featureSubsetStrategy"]]
 ORACLE["param_grid"] = f"""{SIGNAL},
-train AS (SELECT fold_hash % 3 AS fold FROM signal WHERE small < 50000 AND sp < 700000),
+train AS (SELECT fold_hash % 3 AS fold FROM signal WHERE small < 57646075230342352 AND sp < 807045053224792832),
 folds AS (SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n FROM train GROUP BY fold),
 points AS (SELECT unnest([{', '.join(f"'{d}/{b}/{s}'" for d, b, s in _grid)}]) AS point, fold, n FROM folds)
 SELECT fold, CAST((SELECT sum(n) FROM folds) - n AS BIGINT) AS train_rows, n AS held_out_rows,
@@ -344,26 +363,26 @@ def _leaf(split: str) -> str:
     return f"CASE WHEN {_value(split)} <= {split}.cut THEN {split}.low ELSE {split}.high END"
 
 
-STUMP = f"{SIGNAL},\n{_best_split('stump', 'signal', 'label', 'sp < 700000')}"
+STUMP = f"{SIGNAL},\n{_best_split('stump', 'signal', 'label', 'sp < 807045053224792832')}"
 _p = _leaf("stump")
 ORACLE["rf_classify_stump"] = f"""{STUMP},
-leaf AS (SELECT row_id, label, {_p} AS p FROM signal, stump WHERE sp >= 700000)
+leaf AS (SELECT row_id, label, {_p} AS p FROM signal, stump WHERE sp >= 807045053224792832)
 SELECT row_id, label, CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction,
   round(p, 6) AS probability FROM leaf"""
 
 # Two levels: leaves of one parent that vote alike become one leaf with the parent's mean.
 ORACLE["rf_classify_two_levels"] = f"""{SIGNAL},
-{_best_split('root', 'signal', 'label', 'sp < 700000')},
+{_best_split('root', 'signal', 'label', 'sp < 807045053224792832')},
 halves AS (SELECT signal.*, {_value('root')} > root.cut AS upper FROM signal, root),
-{_best_split('c0', 'halves', 'label', 'sp < 700000 AND NOT upper')},
-{_best_split('c1', 'halves', 'label', 'sp < 700000 AND upper')},
+{_best_split('c0', 'halves', 'label', 'sp < 807045053224792832 AND NOT upper')},
+{_best_split('c1', 'halves', 'label', 'sp < 807045053224792832 AND upper')},
 tree AS (SELECT (c0.low > 0.5E0) = (c0.high > 0.5E0) AS merged0, (c1.low > 0.5E0) = (c1.high > 0.5E0) AS merged1,
   (root.low > 0.5E0) = (root.high > 0.5E0) AS alike, root.low AS p0, root.high AS p1,
-  (SELECT avg(label) FROM signal WHERE sp < 700000) AS p FROM root, c0, c1),
+  (SELECT avg(label) FROM signal WHERE sp < 807045053224792832) AS p FROM root, c0, c1),
 leaf AS (SELECT row_id, label, CASE WHEN merged0 AND merged1 AND alike THEN p
     WHEN upper THEN CASE WHEN merged1 THEN p1 ELSE {_leaf('c1')} END
     ELSE CASE WHEN merged0 THEN p0 ELSE {_leaf('c0')} END END AS p
-  FROM halves, c0, c1, tree WHERE sp >= 700000)
+  FROM halves, c0, c1, tree WHERE sp >= 807045053224792832)
 SELECT row_id, label, CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction,
   round(p, 6) AS probability FROM leaf"""
 ORACLE["feature_importance_stump"] = f"{STUMP} " + " UNION ALL ".join(
@@ -375,18 +394,18 @@ ORACLE["feature_importance_stump"] = f"{STUMP} " + " UNION ALL ".join(
 # and enters with the step size 0.1.
 ORACLE["gbt_classify_two_rounds"] = f"""{SIGNAL},
 signed AS (SELECT *, 2 * label - 1 AS y FROM signal),
-{_best_split('first', 'signed', 'y', 'sp < 700000')},
+{_best_split('first', 'signed', 'y', 'sp < 807045053224792832')},
 margin AS (SELECT signed.*, {_leaf('first')} AS f1 FROM signed, first),
 residual AS (SELECT *, 4 * y / (1 + exp(2 * y * f1)) AS g FROM margin),
-{_best_split('second', 'residual', 'g', 'sp < 700000')},
-boosted AS (SELECT row_id, label, f1 + 0.1E0 * ({_leaf('second')}) AS f FROM margin, second WHERE sp >= 700000)
+{_best_split('second', 'residual', 'g', 'sp < 807045053224792832')},
+boosted AS (SELECT row_id, label, f1 + 0.1E0 * ({_leaf('second')}) AS f FROM margin, second WHERE sp >= 807045053224792832)
 SELECT row_id, label, CASE WHEN f > 0 THEN 1.0E0 ELSE 0.0E0 END AS prediction,
   round(1 / (1 + exp(-2 * f)), 6) AS probability FROM boosted"""
 
-# Every grid point of the reduced search gives the same stump, so all share one score.
+# The first point of the reduced search has no split: its scores are all equal.
 TUNED = f"""{SIGNAL},
-small AS (SELECT *, fold_hash % 3 AS fold FROM signal WHERE small < 50000),
-train AS (SELECT * FROM small WHERE sp < 700000),
+small AS (SELECT *, fold_hash % 3 AS fold FROM signal WHERE small < 57646075230342352),
+train AS (SELECT * FROM small WHERE sp < 807045053224792832),
 """ + _list(
     f"""{_best_split(f'fold{k}', 'train', 'label', f'fold <> {k}')},
 scores{k} AS (SELECT label, {_leaf(f'fold{k}')} AS p FROM train, fold{k} WHERE fold = {k}),
@@ -395,15 +414,13 @@ area{k} AS ({_auc(f'scores{k}', 'p')})"""
 )
 _avg = "round(((SELECT auc FROM area0) + (SELECT auc FROM area1) + (SELECT auc FROM area2)) / 3, 6) AS avg_auc"
 ORACLE["cross_validate_stump"] = f"""{TUNED}
-SELECT CAST(0 AS INTEGER) AS setting, '{SEARCH_BINS}' AS maxBins, {_avg}
-UNION ALL SELECT CAST(1 AS INTEGER) AS setting, '{2 * SEARCH_BINS}' AS maxBins, {_avg}"""
-ORACLE["best_params_stump"] = (
-    f"{TUNED} SELECT CAST(0 AS INTEGER) AS setting, '{SEARCH_BINS}' AS maxBins, {_avg}"
-)
+SELECT CAST(0 AS INTEGER) AS setting, '0' AS maxDepth, 0.5E0 AS avg_auc
+UNION ALL SELECT CAST(1 AS INTEGER) AS setting, '1' AS maxDepth, {_avg}"""
+ORACLE["best_params_stump"] = f"{TUNED} SELECT CAST(1 AS INTEGER) AS setting, '1' AS maxDepth, {_avg}"
 ORACLE["score_best_stump"] = f"""{SIGNAL},
-small AS (SELECT * FROM signal WHERE small < 50000),
-{_best_split('stump', 'small', 'label', 'sp < 700000')},
-scored AS (SELECT label, {_p} AS p FROM small, stump WHERE sp >= 700000),
+small AS (SELECT * FROM signal WHERE small < 57646075230342352),
+{_best_split('stump', 'small', 'label', 'sp < 807045053224792832')},
+scored AS (SELECT label, {_p} AS p FROM small, stump WHERE sp >= 807045053224792832),
 area AS ({_auc('scored', 'p')})
 SELECT round((SELECT auc FROM area), 6) AS auc,
   round(avg(CASE WHEN label = CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END THEN 1.0E0 ELSE 0.0E0 END), 6) AS accuracy,
@@ -413,15 +430,16 @@ SELECT round((SELECT auc FROM area), 6) AS auc,
 def _two_feature_fit(name: str, table: str, where: str, reg: float, alpha: float) -> str:
     """Penalised least squares on two standardised features, by the normal equations.
 
-    With k = reg / sd(y): (1 + k(1-alpha)) b1 + r12 b2 = r1 - k alpha sign(r1), and
-    likewise for b2, which holds while neither coefficient is shrunk to zero.
+    With k = reg / sd(y): (1 + k(1-alpha)) b1 + r12 b2 = r1 - k alpha sign(b1), and
+    likewise for b2, which holds while neither coefficient is shrunk to zero. The signs
+    are those of the coefficients without a penalty, r1 - r12 r2 and r2 - r12 r1.
     """
     return f"""{name}_m AS (SELECT corr(NVVar1, Claim_Amount) AS r1, corr(Var5, Claim_Amount) AS r2,
     corr(NVVar1, Var5) AS r12, stddev_pop(NVVar1) AS s1, stddev_pop(Var5) AS s2,
     stddev_pop(Claim_Amount) AS sy, avg(NVVar1) AS m1, avg(Var5) AS m2, avg(Claim_Amount) AS my,
     {reg}E0 / stddev_pop(Claim_Amount) AS k FROM {table} WHERE {where}),
-{name}_e AS (SELECT *, 1 + k * (1 - {alpha}E0) AS d, r1 - k * {alpha}E0 * sign(r1) AS c1,
-    r2 - k * {alpha}E0 * sign(r2) AS c2 FROM {name}_m),
+{name}_e AS (SELECT *, 1 + k * (1 - {alpha}E0) AS d, r1 - k * {alpha}E0 * sign(r1 - r12 * r2) AS c1,
+    r2 - k * {alpha}E0 * sign(r2 - r12 * r1) AS c2 FROM {name}_m),
 {name}_b AS (SELECT *, (d * c1 - r12 * c2) / (d * d - r12 * r12) * sy / s1 AS b1,
     (d * c2 - r12 * c1) / (d * d - r12 * r12) * sy / s2 AS b2 FROM {name}_e),
 {name} AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM {name}_b)"""
@@ -429,17 +447,19 @@ def _two_feature_fit(name: str, table: str, where: str, reg: float, alpha: float
 
 _line = "b0 + b1 * NVVar1 + b2 * Var5"
 ORACLE["linreg_elastic_net_pair"] = f"""{LABELLED},
-{_two_feature_fit('line', 'labelled', 'sp < 700000', 0.1, 0.5)},
-errors AS (SELECT b0, b1, b2, Claim_Amount - ({_line}) AS e FROM labelled, line WHERE sp >= 700000)
+{_two_feature_fit('line', 'labelled', 'sp < 807045053224792832', 0.1, 0.5)},
+errors AS (SELECT b0, b1, b2, Claim_Amount - ({_line}) AS e FROM labelled, line WHERE sp >= 807045053224792832)
 SELECT round(avg(e * e), 4) AS mse, round(avg(abs(e)), 4) AS mae, count(*) AS scored_rows,
   round(b0, 4) AS b0, round(b1, 4) AS b1, round(b2, 4) AS b2 FROM errors GROUP BY b0, b1, b2"""
 ORACLE["glm_gaussian_pair"] = f"""{LABELLED},
-{_two_feature_fit('line', 'labelled', 'sp < 700000 AND binaryclaim = 1', 0.01, 0.0)}
-SELECT Row_ID, Claim_Amount, round({_line}, 4) AS combo_prediction FROM labelled, line WHERE sp >= 700000"""
+{_two_feature_fit('line', 'labelled', 'sp < 807045053224792832 AND binaryclaim = 1', 0.01, 0.0)}
+SELECT Row_ID, Claim_Amount, round({_line}, 4) AS combo_prediction FROM labelled, line WHERE sp >= 807045053224792832"""
 ORACLE["hurdle_regression_pair"] = f"""{BALANCED},
 flags AS (SELECT *, NVVar1 >= 84 AS high FROM balanced),
-votes AS (SELECT high, avg(binaryclaim) > 0.5E0 AS claim FROM flags WHERE sp < 700000 GROUP BY high),
-{_two_feature_fit('line', 'flags', 'sp < 700000 AND binaryclaim = 1', 0.01, 0.0)},
-errors AS (SELECT Claim_Amount - ({_line}) AS e FROM flags JOIN votes USING (high), line
-  WHERE sp >= 700000 AND claim)
-SELECT round(avg(e * e), 4) AS mse, round(avg(abs(e)), 4) AS mae, count(*) AS scored_rows FROM errors"""
+votes AS (SELECT high, avg(binaryclaim) > 0.5E0 AS claim FROM flags WHERE sp < 807045053224792832 GROUP BY high),
+{_two_feature_fit('line', 'flags', 'sp < 807045053224792832 AND binaryclaim = 1', 0.01, 0.0)},
+errors AS (SELECT claim, claim = (binaryclaim = 1) AS hit, Claim_Amount - ({_line}) AS e
+  FROM flags JOIN votes USING (high), line WHERE sp >= 807045053224792832)
+SELECT round(avg(CASE WHEN hit THEN 1.0E0 ELSE 0.0E0 END), 6) AS accuracy,
+  round(avg(e * e) FILTER (claim), 4) AS mse, round(avg(abs(e)) FILTER (claim), 4) AS mae,
+  count(*) FILTER (claim) AS scored_rows FROM errors"""

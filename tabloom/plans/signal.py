@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tabloom.config import SIGNAL_FEATURES, SIGNAL_LABEL
 from tabloom.operators.columns import cast_double
@@ -25,7 +25,10 @@ def prepare_signal(
 ) -> DataFrame:
     """(key, features, label): cast to double, drop incomplete rows, assemble. A map over the scan."""
     typed = cast_double(raw.select(key, label, *(f"`{c}`" for c in features)), [label, *features])
-    return assemble(drop_any_missing(typed), features, "features").select(key, "features", label)
+    assembled = assemble(drop_any_missing(typed), features, "features")
+    # With the two classes named, fitting needs no pass to count them, and fails on any other label.
+    classes = {"ml_attr": {"type": "nominal", "num_vals": 2, "name": label}}
+    return assembled.select(key, "features", F.col(label).alias(label, metadata=classes))
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,7 @@ def build_session(app_name: str = "tabloom", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Wide tables generate methods the JVM will not compile (over 8000 bytes of
         # code); beyond the limit Spark splits them, which is 2x faster here.
         "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -16,17 +16,21 @@ from tabloom.config import CLAIMS_COLUMNS, SIGNAL_FEATURES, SIGNAL_LABEL
 from tabloom.functions.hashing import row_hash
 from tabloom.session import fresh_path
 from tabloom.sources.csv import scan_csv_header, scan_csv_positional
-from tabloom.sources.tables import read_table, spread
+from tabloom.sources.tables import read_table
 
 ROW_ID = "row_id"
+# Files of a derived table, whatever the number of cores or input files; raise it with the input.
+INGEST_PARTITIONS = 32
 ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 ROW_ID_SQL = "concat_ws('-', " + ", ".join(f"CAST({k} AS STRING)" for k in ROW_KEYS) + ")"
 
 # column -> salt of its row hash
 HASHES = {
     "m": "m", "n": "n", "sp": "split", "fold_hash": "fold",
-    "small": "small", "under": "under", "sh": "shuffle",
+    "small": "small", "under": "under",
 }
+# Hashes that values are made of, not rates: these have a range of their own.
+VALUES, VALUE_RANGE = ("m", "n"), 1_000_000
 # Two 60-bit words per digest, five 12-bit numbers per word.
 WORDS = {f"w{d}{half}": (f"wide{d}", 1 + 15 * half) for d in range(3) for half in range(2)}
 
@@ -111,14 +115,16 @@ CLAIMS_SQL = {
 }
 
 
-def hashed_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    """`lineitem` with its row key and the hash columns the derivations use."""
-    rows = spread(read_table(spark, folder, "lineitem"), *ROW_KEYS).withColumn(
-        ROW_ID, F.expr(ROW_ID_SQL)
-    )
+def hashed_lineitem(spark: SparkSession, folder: str, partitions: int = INGEST_PARTITIONS) -> DataFrame:
+    """`lineitem` with its row key and the hash columns the derivations use, dealt by row key."""
+    rows = read_table(spark, folder, "lineitem").repartition(partitions, *ROW_KEYS)
+    rows = rows.withColumn(ROW_ID, F.expr(ROW_ID_SQL))
     return rows.withColumns(
         {
-            **{name: row_hash(salt, ROW_ID) for name, salt in HASHES.items()},
+            **{
+                name: row_hash(salt, ROW_ID) % VALUE_RANGE if name in VALUES else row_hash(salt, ROW_ID)
+                for name, salt in HASHES.items()
+            },
             **{
                 name: F.conv(
                     F.substring(F.md5(F.concat(F.lit(f"{salt}:"), F.col(ROW_ID))), start, 15), 16, 10
@@ -146,6 +152,15 @@ def _once(spark: SparkSession, folder: str, name: str, write) -> str:
     return _written[key]
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the derived tables this application wrote; they are written again on the next use."""
+    own = [key for key in _written if key[0] == spark.sparkContext.applicationId]
+    jvm = spark.sparkContext._jvm
+    for key in own:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop(key))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _table(spark: SparkSession, folder: str, name: str, derive) -> DataFrame:
     path = _once(spark, folder, name, lambda p: derive(hashed_lineitem(spark, folder)).write.parquet(p))
     return spark.read.parquet(path)

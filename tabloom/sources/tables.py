@@ -8,15 +8,3 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than there are cores.
-
-    A table of many files already has more splits than cores and is returned
-    unchanged; only a small table in few files pays for the shuffle. Pass scans
-    only: counting the splits of a plan with a shuffle would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

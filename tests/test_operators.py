@@ -9,6 +9,7 @@ from pyspark.ml.feature import Imputer, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from tabloom.functions import hashing
 from tabloom.functions.hashing import with_row_key
 from tabloom.functions.ranking import with_position
 from tabloom.operators import columns, filters, impute, metrics, models, profile, sampling
@@ -29,6 +30,17 @@ def letters(spark):
     return spark.createDataFrame(rows, "id string, c string, d string").repartition(5)
 
 
+# --- hashes ---
+
+
+def test_rates_far_below_a_millionth(spark):
+    assert hashing.threshold(1 / 4_000_000) == 2**60 // 4_000_000
+    assert hashing.threshold(1.0) == 2**60
+    drawn = spark.range(1_000_000).select(hashing.row_hash("s", F.col("id")).alias("h"))
+    assert drawn.distinct().count() == 1_000_000
+    assert drawn.filter(F.col("h") < hashing.threshold(1e-3)).count() == pytest.approx(1000, abs=150)
+
+
 # --- positions and order ---
 
 
@@ -152,9 +164,9 @@ def test_index_equals_the_library_indexer(letters):
     assert library.filter("c_ind <> c_lib OR d_ind <> d_lib").count() == 0
 
 
-@pytest.mark.parametrize("head", [0, 1, 3, 1000])
-def test_index_by_join_equals_index_by_dictionary(letters, head, monkeypatch):
-    monkeypatch.setattr(ft._index_by_join, "__defaults__", (head,))
+@pytest.mark.parametrize("settled", [1, 3, 20, 1000])
+def test_index_by_join_equals_index_by_dictionary(letters, settled, monkeypatch):
+    monkeypatch.setattr(ft, "SETTLED", settled)
     counts = profile.value_counts(letters, ["c", "d"])
     small = ft.fit_string_index(counts, ["c", "d"])
     large = ft.fit_string_index(counts, ["c", "d"], max_labels=5)
@@ -166,6 +178,41 @@ def test_index_by_join_equals_index_by_dictionary(letters, head, monkeypatch):
     assert a["5"][0] == small.sizes["c"]
 
 
+def test_unseen_value_on_a_third_of_the_rows_is_settled_by_broadcast(letters):
+    counts = profile.value_counts(letters, ["c"])
+    large = ft.fit_string_index(counts, ["c"], max_labels=0)
+    unseen = letters.withColumn("c", F.when(F.col("c") == "hot", "new").otherwise(F.col("c")))
+    frequent = ft._frequent_values(unseen, large.large, large.sizes)
+    assert frequent.filter("value = 'new'").first()["index"] == large.sizes["c"]
+    rows = large.transform(unseen).filter("c = 'new'")
+    assert rows.count() == 667 and rows.filter(F.col("c_ind") != large.sizes["c"]).isEmpty()
+
+
+def test_index_by_join_reads_its_input_once(letters, tmp_path):
+    letters.write.parquet(str(tmp_path / "letters"))
+    table = letters.sparkSession.read.parquet(str(tmp_path / "letters"))
+    for c in ("e", "f", "g"):
+        table = table.withColumn(c, F.concat(F.lit(c), "c"))
+    names = ["c", "e", "f", "g"]
+    large = ft.fit_string_index(profile.value_counts(table, names), names, max_labels=0)
+    plan = large.transform(table)._jdf.queryExecution().explainString(
+        table.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    tables = [line for line in plan.split("\n") if line.startswith("Location:") and "letters" in line]
+    assert len(tables) == 1
+
+
+def test_stored_vectors_are_read_as_they_are(spark):
+    from pyspark.ml.linalg import Vectors
+
+    vectors = [Vectors.sparse(5, [1, 4], [2.0, 3.0]), Vectors.dense([0.0, 2.0, 0.0, 0.0, 3.0]), Vectors.sparse(3, [], [])]
+    table = spark.createDataFrame([(v,) for v in vectors], ["v"])
+    rows = table.select(
+        ft.vector_size("v"), ft.hot_positions("v"), ft.vector_element("v", F.lit(1)), ft.vector_element("v", F.lit(2))
+    ).collect()
+    assert [tuple(r) for r in rows] == [(5, [1, 4], 2.0, 0.0), (5, [1, 4], 2.0, 0.0), (3, [], 0.0, 0.0)]
+
+
 def test_one_step_encoding_equals_three_steps(letters):
     counts = profile.value_counts(letters, ["c", "d"])
     small = ft.fit_string_index(counts, ["c", "d"])
@@ -210,10 +257,23 @@ def test_auc_with_one_hot_score_and_far_values(spark):
     assert metrics.auc_roc(_scored(spark, pairs)).first()["auc"] == pytest.approx(_brute_auc(pairs))
 
 
+def test_auc_buckets_hold_equal_shares_of_distinct_scores(spark):
+    """Also where 99 of 100 rows have one score."""
+    rows = spark.range(200_000).selectExpr("CAST(id % 2 AS DOUBLE) AS label", "if(id % 100 = 0, id / 7, 0.5) AS score")
+    sizes = [r["count"] for r in metrics.by_score(rows, 20).groupBy("bucket").count().collect()]
+    assert sum(sizes) == 2001 and max(sizes) <= 3 * 2001 / 20
+
+
 def test_auc_of_one_class_is_null(spark):
     assert metrics.auc_roc(_scored(spark, [(1.0, 0.2), (1.0, 0.4)])).first()["auc"] is None
 
 
+def test_two_stage_report(spark):
+    rows = [(1.0, 1.0, 5.0, 7.0), (0.0, 0.0, 0.0, 9.0), (0.0, 1.0, 0.0, 1.0), (1.0, 0.0, 3.0, 3.0)]
+    table = spark.createDataFrame(rows, "label double, prediction double, y double, combo_prediction double")
+    assert tuple(metrics.two_stage_report(table, "label", "y").first()) == (0.5, 2.5, 1.5, 2)
+
+
 def test_regression_report(spark):
     table = spark.createDataFrame([(1.0, 2.0), (3.0, 0.0)], "y double, prediction double")
     row = metrics.regression_report(table, "y").first()

@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as driver
+from tabloom.plans.oracle import ORACLE
+from tabloom.plans.queries import QUERIES
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
 
 
@@ -19,6 +19,7 @@ def canonical(value):
 
 def test_every_statement_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -64,6 +64,39 @@ def test_search_returns_a_grid_member(spark, prepared):
     assert fitted.model.getNumTrees == 3
 
 
+def test_search_does_not_depend_on_layout(prepared):
+    train, _ = sampling.split_train_test(prepared, "row_id")
+    tables = []
+    for n in (1, 3, 8):
+        tuned = tuning.cross_validate(models.forest(numTrees=3), train.repartition(n), {"maxDepth": (2, 4)}, key="row_id")
+        tables.append(tuned.fold_metrics)
+    assert tables[0] == tables[1] == tables[2]
+
+
+def test_fit_fails_on_other_labels_and_counts_no_classes(spark, prepared):
+    train, _ = sampling.split_train_test(prepared, "row_id")
+    assert train.schema["label"].metadata["ml_attr"]["num_vals"] == 2
+    odd = train.withColumn("label", F.lit(2.0).alias("label", metadata=train.schema["label"].metadata))
+    with pytest.raises(Exception, match="(?i)label"):
+        models.fit(models.forest(numTrees=1), odd)
+
+
+def test_wide_linear_models_are_refused_by_name(spark):
+    from pyspark.ml.linalg import Vectors
+
+    wide = spark.createDataFrame([(Vectors.sparse(5000, [1], [1.0]), 1.0)], ["v", "y"])
+    wide = wide.withColumn("v", F.col("v").alias("v", metadata={"ml_attr": {"num_attrs": 5000}}))
+    with pytest.raises(ValueError, match="5000 features"):
+        models.fit(models.gaussian_glm("v", "y"), wide)
+
+
+def test_two_stage_report_scores_once(balanced):
+    result = claims_plan.regress_claims_two_stage(balanced)
+    plan = explain(result.report())
+    assert plan.count("InMemoryTableScan (") == 1 or plan.count(") InMemoryTableScan") == 1
+    assert result.report().first()["scored_rows"] > 0
+
+
 def test_full_grids_have_27_points():
     for estimator, grid in ((models.forest(), tuning_grid("FOREST_GRID")), (models.boosted(), tuning_grid("BOOSTED_GRID"))):
         assert len(tuning.param_grid(estimator, grid)) == 27
@@ -187,11 +220,16 @@ def test_fit_job(spark, csv_files):
     assert tables["report"].first()["auc"] > 0.9 and tables["importances"].count() == 28
 
 
-def test_claims_jobs(spark, csv_files, capsys):
+def test_claims_jobs(spark, csv_files, capsys, tmp_path):
     tables = jobs.claims_job(spark, str(csv_files / "claims"), two_stage=False, train_only=True)
     assert tables["report"].first()["mae"] > 0 and tables["missing rates"].count() == 26
-    jobs.main(["claims-two-stage", "--input", str(csv_files / "claims")])
+    out = tmp_path / "out"
+    jobs.main(["claims-two-stage", "--input", str(csv_files / "claims"), "--output", str(out)])
     assert "accuracy" in capsys.readouterr().out
+    counts = spark.read.parquet(str(out / "rows")).first()
+    assert counts["dropped_rows"] == counts["rows"] - counts["complete_rows"] > 0
+    values = spark.read.parquet(str(out / "values"))
+    assert values.count() > 100 and values.agg(F.sum("count")).first()[0] == 14 * counts["rows"]
 
 
 # --- plans ---
