@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-FIELDS = "text string, lang string, doc_id long, source string, n_chars long, _n long, _salt string, id string, key string"
+FIELDS = "text string, lang string, doc_id long, source string, n_chars long, _n long, _salt string, id string, key string, kept string, _row string"
 
 
 @pytest.fixture
@@ -10,7 +10,7 @@ def docs(spark):
     """Documents from (id, text) pairs, with further columns of awkward names and nulls in them."""
 
     def make(*pairs):
-        rows = [(text, None, doc_id, None, None, 7, "s", "i", "k") for doc_id, text in pairs]
+        rows = [(text, None, doc_id, None, None, 7, "s", "i", "k", "no", "r") for doc_id, text in pairs]
         return spark.createDataFrame(rows, FIELDS)
 
     return make
