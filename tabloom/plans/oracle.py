@@ -179,15 +179,20 @@ _filled = {
 FILLED = f"""{MODES},
 filled AS (SELECT Row_ID, sp, under, Claim_Amount, {_continuous}, {_columns(_filled)} FROM claims)"""
 # Which columns are kept is decided here as well, by their rate of missing values.
-_kept_filled = " UNION ALL ".join(
-    f"""SELECT Row_ID, '{c}' AS "column", CASE WHEN {_present(c)} THEN {c} ELSE (SELECT {c} FROM claims
-  WHERE {_present(c)} GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) END AS value FROM claims
-  WHERE (SELECT {_pct.format(f"{c} IS NULL OR {c} = '?'")} FROM claims) < {MISSING_LIMIT_PCT:.1f}E0"""
+_kept = {
+    c: f"(SELECT {_pct.format(f"{c} IS NULL OR {c} = '?'")} FROM claims) < {MISSING_LIMIT_PCT:.1f}E0"
     for c in CLAIMS.categorical
+}
+_kept_filled = {
+    c: f"""CASE WHEN {_kept[c]} THEN CASE WHEN {_present(c)} THEN {c} ELSE (SELECT {c} FROM claims
+  WHERE {_present(c)} GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) END END"""
+    for c in CLAIMS.categorical
+}
+ORACLE["impute_mode"] = f"{CLAIMS_CTE} SELECT Row_ID, {_columns(_kept_filled)} FROM claims"
+ORACLE["value_counts_imputed"] = f"{CLAIMS_CTE} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {sql} AS value, count(*) AS count FROM claims WHERE {_kept[c]} GROUP BY value"""
+    for c, sql in _kept_filled.items()
 )
-ORACLE["impute_mode"] = f"{CLAIMS_CTE} {_kept_filled}"
-ORACLE["value_counts_imputed"] = f"""{CLAIMS_CTE},
-filled AS ({_kept_filled}) SELECT "column", value, count(*) AS count FROM filled GROUP BY ALL"""
 ORACLE["most_common_value"] = f"{CLAIMS_CTE} " + " UNION ALL ".join(
     f"""(SELECT '{c}' AS "column", {c} AS value, count(*) AS count FROM claims WHERE {_present(c)}
   GROUP BY {c} ORDER BY count DESC, value LIMIT 1)"""
@@ -241,6 +246,13 @@ ORACLE["sample_fraction"] = f"""{FACTOR}
 SELECT Row_ID, binaryclaim FROM labelled WHERE binaryclaim = 0
   AND under < floor(1152921504606846976.0E0 * (1.0E0 / (SELECT CAST(factor AS DOUBLE) FROM factor)))"""
 ORACLE["undersample_majority"] = f"{BALANCED} SELECT Row_ID, binaryclaim FROM balanced"
+ORACLE["split_train_test_rng_parts"] = f"""{SIGNAL}
+SELECT row_id, label, count(*) AS copies FROM signal GROUP BY ALL"""
+for _name in ("rf_classify_rows", "gbt_classify_rows"):
+    ORACLE[_name] = f"{SIGNAL} SELECT row_id, label, TRUE AS valid FROM signal WHERE sp >= 807045053224792832"
+for _name in ("feature_importance_total", "gbt_feature_importance_total"):
+    ORACLE[_name] = f"""SELECT CAST({len(SIGNAL_FEATURES)} AS BIGINT) AS features, 1.0E0 AS total, TRUE AS valid
+FROM lineitem LIMIT 1"""
 ORACLE["union_all"] = f"""{SIGNAL}
 SELECT row_id, label FROM signal WHERE small < 57646075230342352
 UNION ALL SELECT row_id, label FROM signal WHERE label = 1"""
@@ -262,7 +274,7 @@ PREPARED = f"""{FILLED},
     count(*) OVER () AS width FROM filled GROUP BY {c})"""
     for c in KEPT_NOMINAL
 ) + f""",
-scalars AS (SELECT Row_ID, {_amount} AS Claim_Amount, {_label} AS binaryclaim,
+scalars AS (SELECT Row_ID, sp, under, {_amount} AS Claim_Amount, {_label} AS binaryclaim,
   TRY_CAST(OrdCat AS DOUBLE) AS ordinal, {', '.join(KEPT_NOMINAL)},
   {_columns(_imputed)} FROM filled AS claims),
 clean AS (SELECT * FROM scalars WHERE Claim_Amount IS NOT NULL AND ordinal IS NOT NULL),
@@ -274,6 +286,14 @@ ORACLE["string_index"] = (
     + " FROM prepared"
 )
 ORACLE["string_index_by_join"] = ORACLE["string_index"]
+MEANS = f"""{PREPARED},
+clean_factor AS (SELECT greatest(1, CAST(floor(count(*) FILTER (binaryclaim = 0)
+  / CAST(count(*) FILTER (binaryclaim = 1) AS DOUBLE)) AS BIGINT)) AS factor FROM clean),
+train AS (SELECT * FROM clean WHERE sp < 807045053224792832 AND (binaryclaim = 1
+  OR under < floor(1152921504606846976.0E0 * (1.0E0 / (SELECT CAST(factor AS DOUBLE) FROM clean_factor)))))"""
+_mean = "count(*) AS rows, round(avg(Claim_Amount), 2) AS mean_target, round(avg(Claim_Amount), 2) AS mean_prediction"
+ORACLE["linreg_elastic_net_mean"] = f"{MEANS} SELECT {_mean} FROM train"
+ORACLE["glm_gaussian_mean"] = f"{MEANS} SELECT {_mean} FROM train WHERE binaryclaim = 1"
 ORACLE["one_hot_encode"] = (
     f"{PREPARED} SELECT Row_ID, "
     + _list(f"concat(i_{c}, '/', w_{c}) AS {c}_hot" for c in KEPT_NOMINAL)

@@ -353,9 +353,12 @@ def _kept(raw: DataFrame) -> list[str]:
 
 @query
 def impute_mode(spark, folder):
+    """All categories; those that pruning removes are null."""
     raw = claims(spark, folder)
     kept = _kept(raw)
-    return impute.impute_mode(raw, kept).unpivot(CLAIMS.row_id, kept, "column", "value")
+    gone = {c: F.lit(None).cast("string") for c in CLAIMS.categorical if c not in kept}
+    filled = impute.impute_mode(raw, kept).withColumns(gone)
+    return filled.select(CLAIMS.row_id, *CLAIMS.categorical)
 
 
 @query
@@ -665,6 +668,79 @@ def gbt_cross_validate(spark, folder):
     return _tune(spark, folder, models.boosted(), BOOSTED_GRID)[0].metrics_table(spark)
 
 
+# --- models, full settings: what is exact about their output ---
+
+
+def _contract(fitted: signal_plan.Fitted) -> DataFrame:
+    """Which rows are scored, and that every score is a class and a probability."""
+    probability = vector_to_array("probability")[1]
+    valid = F.col("prediction").isin(0.0, 1.0) & probability.between(0.0, 1.0)
+    return fitted.scored.select(ROW_ID, "label", valid.alias("valid"))
+
+
+@query
+def rf_classify_rows(spark, folder):
+    return _contract(signal_plan.fit_classifier(_signal_prepared(spark, folder), models.forest()))
+
+
+@query
+def gbt_classify_rows(spark, folder):
+    return _contract(signal_plan.fit_classifier(_signal_prepared(spark, folder), models.boosted()))
+
+
+def _importance_total(importances: DataFrame) -> DataFrame:
+    """Every feature is named once, and the importances add up to one."""
+    return importances.agg(
+        F.count_distinct("feature").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.min("importance").between(0.0, 1.0).alias("valid"),
+    )
+
+
+@query
+def feature_importance_total(spark, folder):
+    return _importance_total(feature_importance(spark, folder))
+
+
+@query
+def gbt_feature_importance_total(spark, folder):
+    return _importance_total(gbt_feature_importance(spark, folder))
+
+
+def _means(scored: DataFrame, prediction: str) -> DataFrame:
+    """With a free intercept the mean prediction over the training rows is their mean target."""
+    return scored.agg(
+        F.count("*").alias("rows"),
+        F.round(F.avg(CLAIMS.target), 2).alias("mean_target"),
+        F.round(F.avg(prediction), 2).alias("mean_prediction"),
+    )
+
+
+@query
+def linreg_elastic_net_mean(spark, folder):
+    def fit(rows):
+        return _means(claims_plan.regress_claims(rows).model.transform(rows.train), "prediction")
+
+    return _on_balanced(spark, folder, fit)
+
+
+@query
+def glm_gaussian_mean(spark, folder):
+    def fit(rows):
+        train = filters.train_positive(rows.train)
+        model = models.fit(models.gaussian_glm(claims_plan.FINAL_VECTOR, CLAIMS.target), train)
+        return _means(model.transform(train), "combo_prediction")
+
+    return _on_balanced(spark, folder, fit)
+
+
+@query
+def split_train_test_rng_parts(spark, folder):
+    """Every row is in one part."""
+    train, test = sampling.split_train_test_rng(signal(spark, folder).select(ROW_ID, "label"))
+    return _parts(train, test).groupBy(ROW_ID, "label").agg(F.count("*").alias("copies"))
+
+
 # --- models, reduced settings with an exact answer ---
 
 
