@@ -74,7 +74,7 @@ def salted_join(
 
 
 
-def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "_maybe") -> DataFrame:
+def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "__maybe") -> DataFrame:
     """`rows` with a boolean column: false only if the row's key is not among those of `members`.
 
     A bitmap over the hashes of the keys, of eight bits a member up to MOST_BITS, is
@@ -88,14 +88,14 @@ def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "
     slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
     pages = (
         members.select(slot.alias("_slot"))
-        .groupBy(F.bitmap_bucket_number("_slot").alias("_page"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias("__page"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("__bits"))
     )
     place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
-    looked_up = rows.withColumn("_page", F.bitmap_bucket_number(slot)).join(F.broadcast(pages), "_page", "left")
-    return looked_up.withColumn(flag, held).drop("_page", "_bits")
+    looked_up = rows.withColumn("__page", F.bitmap_bucket_number(slot)).join(F.broadcast(pages), "__page", "left")
+    return looked_up.withColumn(flag, held).drop("__page", "__bits")
 
 
 def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
@@ -104,6 +104,6 @@ def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     Only rows that may be dropped are shuffled.
     """
     marked = maybe_in(docs, gone, [id_col])
-    doubtful = marked.where("_maybe").join(gone.hint("merge"), id_col, "left_anti")
+    doubtful = marked.where("__maybe").join(gone.hint("merge"), id_col, "left_anti")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return marked.where("NOT _maybe").select(*columns).unionByName(doubtful.select(*columns))
+    return marked.where("NOT __maybe").select(*columns).unionByName(doubtful.select(*columns))

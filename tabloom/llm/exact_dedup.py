@@ -86,14 +86,14 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = find_copies(docs, id_col=id_col, text_col=text_col, digest_all=True)
     # only rows of a group of copies are shuffled
     copies = written(
-        found.where("group_size > 1").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias("_digest"), "kept"),
+        found.where("group_size > 1").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias("__digest"), F.col("kept").alias("__kept")),
         "copies-found",
     )
     digest = F.sha2(lower_ascii(_text(text_col)), 256)
-    marked = maybe_in(docs.withColumn("_digest", digest), copies, [id_col, "_digest"])
-    doubtful = marked.where("_maybe").join(copies.hint("merge"), [id_col, "_digest"], "left")
-    doubtful = doubtful.where("coalesce(kept, true)")
+    marked = maybe_in(docs.withColumn("__digest", digest), copies, [id_col, "__digest"])
+    doubtful = marked.where("__maybe").join(copies.hint("merge"), [id_col, "__digest"], "left")
+    doubtful = doubtful.where("coalesce(__kept, true)")
     # rows that repeat an id and its text have one partner each in `copies`, and more than one in the join
-    single = doubtful.where("kept IS NULL").select(*columns)
-    kept = doubtful.where("kept").dropDuplicates([id_col, "_digest"]).select(*columns)
-    return marked.where("NOT _maybe").select(*columns).unionByName(single).unionByName(kept)
+    single = doubtful.where("__kept IS NULL").select(*columns)
+    kept = doubtful.where("__kept").dropDuplicates([id_col, "__digest"]).select(*columns)
+    return marked.where("NOT __maybe").select(*columns).unionByName(single).unionByName(kept)

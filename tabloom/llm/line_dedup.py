@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import bind, salted_join, written
+from tabloom.llm.common import bind, maybe_in, salted_join, written
 
 MIN_LINES = 2
 # A chunk ends after a line whose rolling hash begins with a hex digit below this one: 5 of
@@ -81,9 +81,9 @@ def find_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     needed = suspects.select(*place, "_key", "_bytes", F.lit(False).alias("_stays")).unionByName(
         groups.select("_first.*", "_key", "_bytes", F.lit(True).alias("_stays"))
     ).distinct()
-    bodies = written(
-        chunks.select(*place, F.col("_chunk.body").alias("_body")).join(needed, place).distinct(), "lines-bodies"
-    )
+    needed = written(needed, "lines-needed")
+    wanted = maybe_in(chunks.select(*place, F.col("_chunk.body").alias("_body")), needed, place).where("__maybe")
+    bodies = written(wanted.drop("__maybe").join(needed.hint("merge"), place).distinct(), "lines-bodies")
     firsts = bodies.where("_stays").join(groups.select("_key", "_bytes", "_n"), ["_key", "_bytes"]).select(
         "_key", "_bytes", "_n", F.col("_body").alias("_first_body")
     )
@@ -102,22 +102,25 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     gone = find_repeats(docs, id_col=id_col, text_col=text_col).groupBy("doc_id", "_row").agg(
         F.collect_set("_no").alias("_gone")
     )
-    gone = written(gone, "lines-gone").withColumnRenamed("doc_id", "_doc")
-    rows = docs.withColumn("_row", F.xxhash64(text_col))
-    marked = rows.join(gone, (rows[id_col] == gone["_doc"]) & (rows["_row"] == gone["_row"]), "left").drop(gone["_row"])
+    gone = written(gone.select(F.col("doc_id").alias(id_col), F.col("_row").alias("__row"), F.col("_gone").alias("__gone")), "lines-gone")
+    # Rows without a repeat are not shuffled.
+    rows = maybe_in(docs.withColumn("__row", F.xxhash64(text_col)), gone, [id_col, "__row"])
+    marked = rows.where("__maybe").join(gone.hint("merge"), [id_col, "__row"], "left").unionByName(
+        rows.where("NOT __maybe"), allowMissingColumns=True
+    )
 
     def rest(chunks: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col("_gone"))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col("__gone"))
         return F.struct(
             F.array_join(F.transform(kept, lambda j: F.get(chunks, j)["body"]), "\n").alias("body"),
-            F.aggregate(F.col("_gone"), F.lit(0), lambda n, j: n + F.get(chunks, j)["lines"]).alias("lines"),
+            F.aggregate(F.col("__gone"), F.lit(0), lambda n, j: n + F.get(chunks, j)["lines"]).alias("lines"),
         )
 
     # chunks are cut again only where some of them go
-    hit = marked.withColumn("_rest", bind(_chunks(F.when(F.col("_gone").isNotNull(), F.col(text_col))), rest))
+    hit = marked.withColumn("__rest", bind(_chunks(F.when(F.col("__gone").isNotNull(), F.col(text_col))), rest))
     counted = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
     return hit.select(
-        *(F.coalesce("_rest.body", c).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns),
+        *(F.coalesce("__rest.body", c).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns),
         F.when(counted, F.size(F.split(text_col, "\n"))).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce("_rest.lines", F.lit(0)).cast("long").alias("removed_lines"),
+        F.coalesce("__rest.lines", F.lit(0)).cast("long").alias("removed_lines"),
     )
