@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from tabloom.llm.chat import learn, recover_turns, transcript_lines
 from tabloom.llm.common import fold, read_table
-from tabloom.llm.decontaminate import leaked_items
+from tabloom.llm.decontaminate import find_leaks
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.language_id import identify
 from tabloom.llm.line_dedup import remove_repeats
@@ -163,8 +163,9 @@ def op9_chat_format(spark, folder):
 
 @query
 def op10_decontamination(spark, folder):
-    found = leaked_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
-    return found.withColumn("item_ids", F.concat_ws(",", "item_ids"))
+    """The documents that leak, each with the items it holds."""
+    leaks = find_leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return leaks.withColumn("similarity", F.round("similarity", 6))
 
 
 ORACLE["op10_decontamination"] = """
@@ -190,13 +191,11 @@ inside AS (
 total AS (SELECT doc_id, item_id, lo, size, sum(weight) AS own FROM inside GROUP BY ALL),
 common AS (
   SELECT i.doc_id, i.item_id, i.lo, sum(least(i.weight, wb.weight)) AS shared
-  FROM inside i JOIN wb ON wb.item_id = i.item_id AND wb.gram = i.gram GROUP BY ALL),
-leaks AS (
-  SELECT DISTINCT doc_id, item_id FROM total JOIN common USING (doc_id, item_id, lo)
-  WHERE shared >= 0.75 * (own + size - 4 - shared))
-SELECT d.doc_id, count(l.item_id) > 0 AS leaked, count(l.item_id) AS n_items,
-       coalesce(string_agg(CAST(l.item_id AS VARCHAR), ',' ORDER BY l.item_id), '') AS item_ids
-FROM documents d LEFT JOIN leaks l USING (doc_id) GROUP BY d.doc_id
+  FROM inside i JOIN wb ON wb.item_id = i.item_id AND wb.gram = i.gram GROUP BY ALL)
+SELECT doc_id, item_id, round(max(shared / CAST(own + size - 4 - shared AS DOUBLE)), 6) AS similarity
+FROM total JOIN common USING (doc_id, item_id, lo)
+WHERE shared >= 0.75 * (own + size - 4 - shared)
+GROUP BY doc_id, item_id
 """
 
 
