@@ -1,12 +1,29 @@
-"""Slices of Arrow batches, for work whose memory follows the text it holds at once."""
+"""Work on Arrow batches whose memory is bounded by the size of batches and slices."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+# Two tasks of an executor hold a few batches each, in the JVM and in Python.
+BATCH_BYTES = "8m"
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema) -> DataFrame:
+    """`df.mapInArrow` with batches of about BATCH_BYTES, which the session keeps, and freed memory given back."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Batches) -> Batches:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, text: int, size: int) -> Iterator[pa.RecordBatch]:

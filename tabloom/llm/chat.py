@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabloom.llm.arrow import in_arrow
 from tabloom.llm.common import written
 
 ROLES = ("system", "user", "assistant")
@@ -36,7 +37,7 @@ MARKERS = {
     **dict.fromkeys(("user", "human", "q", "question", "customer", "me", "student", "person"), "user"),
     **dict.fromkeys(("assistant", "ai", "a", "answer", "bot", "agent", "model", "helper"), "assistant"),
 }
-_MARKER = re.compile(r"^\s*(?:\[|<\|?|\*\*|#+\s+|>\s*)?([^\W\d_]{1,14})(?:\|?>|\]|\*\*)?\s*(?:[:\]>]|\*\*|-\s)\s*")
+_MARKER = re.compile(r"^\s*(?:\[|<\|?|\*\*|#+\s+|>\s*)?([^\W\d_]{1,14})\s*(?:(?:\|?>|\]|\*\*)\s*:?|:|-\s)\s*")
 
 
 def marker_of(line: str) -> tuple[str, int]:
@@ -127,7 +128,7 @@ def learn(lines: DataFrame) -> Model:
     for r in moves:
         move[r["before"], r["state"]] += r["count"]
     seen = (
-        named.select("state", "line").mapInArrow(_observed, "state int, seen array<string>")
+        named.select("state", "line").transform(in_arrow, _observed, "state int, seen array<string>")
         .select("state", F.posexplode("seen").alias("feature", "value"))
         .groupBy("state", "feature", "value").count().collect()
     )
@@ -178,7 +179,7 @@ def _per_group(rows: DataFrame, keys: list[str], order: list[str], schema: str,
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
     run.types = [kinds[field.split()[1]] for field in schema.split(", ")]
     dealt = rows.select(*keys, *(c for c in rows.columns if c not in keys)).repartition(*keys)
-    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+    return dealt.sortWithinPartitions(*keys, *order).transform(in_arrow, run, schema)
 
 
 def _product(matrices: list[list[float]]) -> np.ndarray:

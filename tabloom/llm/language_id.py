@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.arrow import slices
+from tabloom.llm.arrow import in_arrow, slices
 from tabloom.llm.common import fold
 
 WINDOW = 64
@@ -219,26 +219,34 @@ def _scorer(net: Network):
     return score
 
 
-def training_sample(docs: DataFrame, *, id_col: str, text_col: str, lang_col: str, held_out: Column) -> tuple[list[str], list[str]]:
+def held_out(id_column: Column) -> Column:
+    """True where the crc32 of the id as text is 1 modulo 3; rows without an id are held out too."""
+    return F.coalesce(fold(id_column, 3) == 1, F.lit(True))
+
+
+def training_sample(docs: DataFrame, *, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], list[str]]:
     """Excerpts and languages of a bounded sample of learnable rows.
 
     Rows are drawn by the hash of the id at a rate that gives each language about
     SAMPLE_PER_LANGUAGE of them, from the MAX_LANGUAGES most frequent values. The excerpt
     begins at a place that follows from the hash as well.
     """
-    usable = docs.where(~held_out & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    learnable = ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
+    usable = docs.where(learnable).select(
+        F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+    )
     counts = (
-        usable.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("_n"))
+        usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
         .orderBy(F.desc("_n"), "_lang").limit(MAX_LANGUAGES)
     )
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
-    begin = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("excerpt")), F.greatest(F.length(text_col) - EXCERPT, F.lit(0)) + 1)
+    draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
+    begin = F.pmod(F.xxhash64("key", F.lit("excerpt")), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1)
     rows = (
-        usable.join(F.broadcast(counts), F.col(lang_col) == F.col("_lang"))
+        usable.join(F.broadcast(counts), F.col("lang") == F.col("_lang"))
         .where(draw * F.col("_n") < SAMPLE_PER_LANGUAGE)
         .select(
-            F.xxhash64(F.col(id_col).cast("string")).alias("_order"),
-            F.col(text_col).substr(begin.cast("int") + 1, F.lit(EXCERPT)).alias("text"),
+            F.xxhash64("key").alias("_order"),
+            F.col("text").substr(begin.cast("int") + 1, F.lit(EXCERPT)).alias("text"),
             F.col("_lang").alias("lang"),
         )
         .orderBy("_order", "text")
@@ -257,10 +265,10 @@ def identify(
     rows without an id are held out. `und` with score 0 for null, for texts without a letter, and for all
     rows where nothing can be learnt. `score` is the pooled probability of the predicted language.
     """
-    held_out = F.coalesce(fold(F.col(id_col), 3) == 1, F.lit(True))
-    texts, languages = training_sample(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, held_out=held_out)
+    texts, languages = training_sample(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
     net = train(texts, languages)
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(
+        in_arrow,
         _scorer(net), "doc_id long, lang_pred string, score double"
     )
-    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"), "lang_pred", "score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabloom.llm.arrow import slices
+from tabloom.llm.arrow import in_arrow, slices
 from tabloom.llm.common import drop_ids, maybe_in, salted_join, written
 from tabloom.llm.components import components
 
@@ -244,7 +244,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    return written(both.mapInArrow(_verify, "a long, b long"), "minhash-links")
+    return written(both.transform(in_arrow, _verify, "a long, b long"), "minhash-links")
 
 
 def _block_links(crowded: DataFrame, labels: DataFrame, compared: DataFrame) -> DataFrame:
@@ -307,7 +307,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     )
     signed = written(
-        texts.mapInArrow(_sign, "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-signed"
+        texts.transform(in_arrow, _sign, "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-signed"
     )
     classes = written(
         signed.where("n_shingles > 0")
@@ -320,7 +320,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         own.join(classes.select("id", "digest"), ["id", "digest"], "left_semi").select("id", "signature").dropDuplicates(["id"]),
         "minhash-signatures",
     )
-    bands = written(signatures.mapInArrow(_band_rows, "key long, id long"), "minhash-bands")
+    bands = written(signatures.transform(in_arrow, _band_rows, "key long, id long"), "minhash-bands")
 
     sizes = written(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-buckets")
     crowded = written(salted_join(bands, sizes, ["key"], "n", F.col("id")), "minhash-crowded")
@@ -344,16 +344,16 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     theirs = signatures.select(F.col("id").alias("partner"), F.col("signature").alias("y"))
     compared = (
         stars.join(mine, "id").join(theirs, "partner").select("id", "partner", "x", "y", "alone")
-        .mapInArrow(_compare, "a long, b long, matches long, alone boolean")
+        .transform(in_arrow, _compare, "a long, b long, matches long, alone boolean")
     )
     # at most two partners per band in a window
     best = Window.partitionBy("a").orderBy(F.desc("matches"), "b")
     ranked = written(compared.withColumn("place", F.row_number().over(best)), "minhash-stars")
 
     ids = written(crowded.select("id").distinct(), "minhash-ids")
-    wanted = maybe_in(texts, ids, ["id"]).where("_maybe").drop("_maybe")
+    wanted = maybe_in(texts, ids, ["id"]).where("__maybe").drop("__maybe")
     wanted = wanted.join(ids.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
-    sets = written(wanted.mapInArrow(_sets, "id long, shingles binary"), "minhash-sets")
+    sets = written(wanted.transform(in_arrow, _sets, "id long, shingles binary"), "minhash-sets")
     links = _linked(ranked.where(F.col("place") <= FIRST), sets)
 
     def joined_by(found: DataFrame, name: str) -> DataFrame:

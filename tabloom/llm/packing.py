@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from tabloom.llm.arrow import slices
+from tabloom.llm.arrow import in_arrow, slices
 
 LENGTH = 2048
 END_ID = 1
@@ -36,8 +36,8 @@ SENTENCE_CUT, WORD_CUT = 4, 64
 WORD_STEP = 64  # distance of the cuts offered in long stretches without a sentence end
 POWERS = 3  # the largest powers of two below LENGTH are tried as whole sequences
 RUN = 1 << 18
-MAX_KNOWN_WORDS = 1_200_000
-PIECE_BYTES = 1 << 22  # texts are encoded in slices of about this size
+MAX_KNOWN_WORDS = 300_000
+PIECE_BYTES = 1 << 21  # texts are encoded in slices of about this size
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -287,4 +287,4 @@ def pack_documents(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part")
     )
-    return rows.mapInArrow(_packer(path, length), PIECES)
+    return rows.transform(in_arrow, _packer(path, length), PIECES)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.arrow import slices
+from tabloom.llm.arrow import in_arrow, slices
 from tabloom.llm.labels import held_out, labelled_sample
 
 BUCKET_BITS = 17
@@ -178,9 +178,10 @@ def score_quality(
     excerpts = sample.select(
         F.col("id").cast("string").alias("id"), F.col("text").substr(begin.cast("int") + 1, F.lit(EXCERPT)).alias("text"), "label"
     )
-    rows = sorted(excerpts.mapInArrow(_bucket_rows, "id string, x binary, label int").collect())
+    rows = sorted(excerpts.transform(in_arrow, _bucket_rows, "id string, x binary, label int").collect())
     model = train([np.frombuffer(r["x"], np.int32) for r in rows], np.array([int(r["label"] > 0) for r in rows], int))
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(
+        in_arrow,
         _scorer(model), "doc_id long, score double"
     )
     return scored.select(

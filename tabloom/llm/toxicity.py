@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.arrow import slices
+from tabloom.llm.arrow import in_arrow, slices
 from tabloom.llm.common import written
 from tabloom.llm.labels import held_out, labelled_sample
 
@@ -29,7 +29,7 @@ MIN_DOCS, MIN_ODDS, MAX_ENTRIES = 4, 6.0, 3000
 TREES, DEPTH, BINS, RATE, RIDGE = 80, 4, 32, 0.15, 2.0
 NEAR = 5  # words between a lexicon word and a second person
 PIECE_BYTES = 1 << 21
-MAX_KNOWN_WORDS = 500_000
+MAX_KNOWN_WORDS = 200_000
 
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer "
@@ -151,7 +151,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     totals = part.agg(F.count(F.when(F.col("label") == 1, 1)), F.count(F.when(F.col("label") == 0, 1))).first()
     toxic, clean = (n + 2 for n in totals)
     counts = (
-        part.select("text", "label").mapInArrow(count, "unit string, toxic long, clean long")
+        part.select("text", "label").transform(in_arrow, count, "unit string, toxic long, clean long")
         .groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     odds = ((F.col("toxic") + 0.5) / toxic) / ((F.col("clean") + 0.5) / clean)
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     lexicon = learn_lexicon(sample)
     rows = (
         sample.where(F.col("part") >= LEXICON_PART).select("text", "label", "part")
-        .mapInArrow(_feature_rows(lexicon), "x array<double>, label int, part int").collect()
+        .transform(in_arrow, _feature_rows(lexicon), "x array<double>, label int, part int").collect()
     )
     x = np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES))
     y, part = np.array([r["label"] for r in rows], float), np.array([r["part"] for r in rows], int)
@@ -323,7 +323,8 @@ def score_toxicity(
     the one label there is. Rows without an id are scored and held out; repeated rows are scored each.
     """
     model = fit(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col)
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(
+        in_arrow,
         _scorer(model), "doc_id long, score double"
     )
     return scored.select(
@@ -346,4 +347,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
             for part in slices(batch, place, PIECE_BYTES):
                 yield part.filter(pa.array(own.scores(part.column(place).to_pylist()) < 0.5, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.transform(in_arrow, keep, docs.schema)
