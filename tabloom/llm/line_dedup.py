@@ -4,10 +4,15 @@ A rolling hash over the hashes of the last two lines decides where a chunk ends,
 deleted line moves only the boundaries next to it. A chunk of at least MIN_LINES lines that
 occurs more than once anywhere stays where it comes first and is removed elsewhere, after its
 bytes were compared with those of the one that stays.
+
+Such chunks miss most short passages inside a document. `remove_passages` misses none: its units are
+all pairs of adjacent lines, which overlap, so every repeated run of two lines or more is covered to its full extent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.llm.common import bind, maybe_in, salted_join, written
@@ -48,8 +53,23 @@ def _chunks(text: Column) -> Column:
     )
 
 
-def find_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, _row, _no): chunks to remove, their bytes compared with the first occurrence.
+def _pairs(text: Column) -> Column:
+    """Array of (lines, body): each line but the last with the one after it; null for a null text."""
+
+    def pair(line: Column, following: Column) -> Column:
+        return F.struct(F.lit(2).alias("lines"), F.concat(line, F.lit("\n"), following).alias("body"))
+
+    def paired(lines: Column) -> Column:
+        count = F.size(lines) - 1
+        return F.zip_with(F.slice(lines, 1, count), F.slice(lines, 2, count), pair)
+
+    return F.when(text.isNotNull(), bind(F.split(text, "\n"), paired))
+
+
+def find_repeats(
+    docs: DataFrame, units: Callable[[Column], Column] = _chunks, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, _row, _no): chunks, or other units, to remove, their bytes compared with the first occurrence.
 
     `_row` hashes the text, so that rows that repeat an id are told apart; `_no` counts the chunks of the row.
     First is the smallest (id, row hash, chunk number).
@@ -58,7 +78,7 @@ def find_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("_row"), F.col(text_col).alias("_text")
     )
     chunks = (
-        usable.select("doc_id", "_row", F.posexplode(_chunks(F.col("_text"))).alias("_no", "_chunk"))
+        usable.select("doc_id", "_row", F.posexplode(units(F.col("_text"))).alias("_no", "_chunk"))
         .where(F.col("_chunk.lines") >= MIN_LINES)
     )
     place = ["doc_id", "_row", "_no"]
@@ -91,15 +111,16 @@ def find_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return compared.where(F.col("_body") == F.col("_first_body")).select(*place)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of `docs`, the text without repeated chunks, and n_lines, removed_lines (long).
-
-    A null text stays null with no lines; an empty text has one line. A text made of repeated
-    chunks only becomes empty. Rows without an id keep their text and count no lines. Rows that repeat an id and its text are
-    cleaned alike. An empty table gives an empty result.
-    """
+def _without_repeats(
+    docs: DataFrame,
+    units: Callable[[Column], Column],
+    rest: Callable[[Column, Column], Column],
+    id_col: str,
+    text_col: str,
+) -> DataFrame:
+    """`docs` without its repeated units; `rest` makes (body, lines) of a text and the numbers of those that go."""
     columns = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
-    gone = find_repeats(docs, id_col=id_col, text_col=text_col).groupBy("doc_id", "_row").agg(
+    gone = find_repeats(docs, units, id_col=id_col, text_col=text_col).groupBy("doc_id", "_row").agg(
         F.collect_set("_no").alias("_gone")
     )
     gone = written(gone.select(F.col("doc_id").alias(id_col), F.col("_row").alias("__row"), F.col("_gone").alias("__gone")), "lines-gone")
@@ -108,19 +129,60 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     marked = rows.where("__maybe").join(gone.hint("merge"), [id_col, "__row"], "left").unionByName(
         rows.where("NOT __maybe"), allowMissingColumns=True
     )
-
-    def rest(chunks: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col("__gone"))
-        return F.struct(
-            F.array_join(F.transform(kept, lambda j: F.get(chunks, j)["body"]), "\n").alias("body"),
-            F.aggregate(F.col("__gone"), F.lit(0), lambda n, j: n + F.get(chunks, j)["lines"]).alias("lines"),
-        )
-
-    # chunks are cut again only where some of them go
-    hit = marked.withColumn("__rest", bind(_chunks(F.when(F.col("__gone").isNotNull(), F.col(text_col))), rest))
+    # texts are cut again only where some of them goes
+    hit = marked.withColumn("__rest", rest(F.when(F.col("__gone").isNotNull(), F.col(text_col)), F.col("__gone")))
     counted = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
     return hit.select(
         *(F.coalesce("__rest.body", c).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns),
         F.when(counted, F.size(F.split(text_col, "\n"))).otherwise(0).cast("long").alias("n_lines"),
         F.coalesce("__rest.lines", F.lit(0)).cast("long").alias("removed_lines"),
     )
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of `docs`, the text without repeated chunks, and n_lines, removed_lines (long).
+
+    A null text stays null with no lines; an empty text has one line. A text made of repeated
+    chunks only becomes empty. Rows without an id keep their text and count no lines. Rows that repeat an id and its text are
+    cleaned alike. An empty table gives an empty result.
+    """
+
+    def rest(text: Column, gone: Column) -> Column:
+        def kept_chunks(chunks: Column) -> Column:
+            kept = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), gone)
+            return F.struct(
+                F.array_join(F.transform(kept, lambda j: F.get(chunks, j)["body"]), "\n").alias("body"),
+                F.aggregate(gone, F.lit(0), lambda n, j: n + F.get(chunks, j)["lines"]).alias("lines"),
+            )
+
+        return bind(_chunks(text), kept_chunks)
+
+    return _without_repeats(docs, _chunks, rest, id_col, text_col)
+
+
+def remove_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `remove_repeats`, but the text is without every run of two lines or more that began somewhere before.
+
+    A line goes if it and a neighbour occur, in this order and one after the other, at an earlier place: in a
+    row with a smaller (id, row hash), or further up in its own text. The first occurrence of a line has no
+    earlier place, so each distinct line stays at least once.
+    """
+
+    def rest(text: Column, gone: Column) -> Column:
+        def kept_lines(lines: Column) -> Column:
+            return bind(
+                F.array_union(gone, F.transform(gone, lambda i: i + 1)),
+                lambda out: F.struct(
+                    F.array_join(
+                        F.transform(
+                            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out), lambda j: F.get(lines, j)
+                        ),
+                        "\n",
+                    ).alias("body"),
+                    F.size(out).alias("lines"),
+                ),
+            )
+
+        return F.when(gone.isNotNull(), bind(F.split(text, "\n"), kept_lines))
+
+    return _without_repeats(docs, _pairs, rest, id_col, text_col)

@@ -12,7 +12,7 @@ from tabloom.llm.common import fold, read_table
 from tabloom.llm.decontaminate import find_leaks
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.language_id import identify
-from tabloom.llm.line_dedup import remove_repeats
+from tabloom.llm.line_dedup import remove_passages, remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.quality import score_quality
@@ -69,6 +69,33 @@ FROM documents LEFT JOIN a USING (doc_id)
 """
 
 
+@query
+def op2_passage_dedup(spark, folder):
+    """All repeated runs of two lines or more; op2_line_dedup finds those its chunk boundaries happen to fit."""
+    cleaned = remove_passages(read_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLE["op2_passage_dedup"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+p AS (
+  SELECT doc_id, no, lines[no] || chr(10) || lines[no + 1] AS body
+  FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines) - 1)) AS no FROM l)),
+r AS (
+  SELECT doc_id, no
+  FROM (SELECT doc_id, no, row_number() OVER (PARTITION BY body ORDER BY doc_id, no) AS place FROM p) WHERE place > 1),
+g AS (SELECT doc_id, no, true AS gone FROM r UNION SELECT doc_id, no + 1, true FROM r),
+x AS (SELECT doc_id, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS no FROM l),
+a AS (
+  SELECT doc_id, count(*) AS n_lines, count(gone) AS removed_lines,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (gone IS NULL), '')) AS text_sha256
+  FROM x LEFT JOIN g USING (doc_id, no) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines, text_sha256
+FROM documents LEFT JOIN a USING (doc_id)
+"""
+
+
 @query
 def op3_exact_dedup(spark, folder):
     return find_copies(read_table(spark, folder, "documents"), digest_all=True)
