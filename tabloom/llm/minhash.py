@@ -77,7 +77,7 @@ def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     with np.errstate(over="ignore"):
         rolled = np.zeros(max(len(words) - SHINGLE + 1, 0), np.uint64)
         for i, factor in enumerate(_WORD_FACTORS):
-            rolled += words[i : len(words) - SHINGLE + 1 + i] * factor
+            rolled += words[i : i + len(rolled)] * factor
         rolled = _mixed(rolled)
         at = 0
         for n in counts:
