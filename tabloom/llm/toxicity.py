@@ -95,7 +95,6 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         right = places[np.minimum(after, len(places) - 1)] - np.array(hits)
         distance = np.minimum(np.abs(left), np.abs(right))
         near, nearest = int((distance <= NEAR).sum()), int(min(distance.min(), 1000))
-    size = len(text)
     capitals = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     letters = max(sum(map(len, raw)), 1)
     marks = {c: text.count(c) for c in "!?.,;:*#$%&@|'\"()-_"}
@@ -109,7 +108,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         float(near),
         float(nearest),
         capitals / letters,
-        sum(1 for w in text.split() if len(w) > 2 and w.isupper()) / n if capitals > 0.1 * size else 0.0,
+        sum(1 for w in text.split() if len(w) > 2 and w.isupper()) / n,
         marks["!"] / n,
         marks["?"] / n,
         sum(marks.values()) / n,
