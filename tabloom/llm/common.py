@@ -74,7 +74,7 @@ def salted_join(
 
 
 
-def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "__maybe") -> DataFrame:
+def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "_maybe") -> DataFrame:
     """`rows` with a boolean column: false only if the row's key is not among those of `members`.
 
     A bitmap over the hashes of the keys, of eight bits a member up to MOST_BITS, is
@@ -103,7 +103,7 @@ def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
 
     Only rows that may be dropped are shuffled.
     """
-    marked = maybe_in(docs, gone, [id_col])
+    marked = maybe_in(docs, gone, [id_col], "__maybe")
     doubtful = marked.where("__maybe").join(gone.hint("merge"), id_col, "left_anti")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return marked.where("NOT __maybe").select(*columns).unionByName(doubtful.select(*columns))

@@ -90,7 +90,7 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "copies-found",
     )
     digest = F.sha2(lower_ascii(_text(text_col)), 256)
-    marked = maybe_in(docs.withColumn("__digest", digest), copies, [id_col, "__digest"])
+    marked = maybe_in(docs.withColumn("__digest", digest), copies, [id_col, "__digest"], "__maybe")
     doubtful = marked.where("__maybe").join(copies.hint("merge"), [id_col, "__digest"], "left")
     doubtful = doubtful.where("coalesce(__kept, true)")
     # rows that repeat an id and its text have one partner each in `copies`, and more than one in the join

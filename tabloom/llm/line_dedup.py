@@ -102,7 +102,7 @@ def find_repeats(
         groups.select("_first.*", "_key", "_bytes", F.lit(True).alias("_stays"))
     ).distinct()
     needed = written(needed, "lines-needed")
-    wanted = maybe_in(chunks.select(*place, F.col("_chunk.body").alias("_body")), needed, place).where("__maybe")
+    wanted = maybe_in(chunks.select(*place, F.col("_chunk.body").alias("_body")), needed, place, "__maybe").where("__maybe")
     bodies = written(wanted.drop("__maybe").join(needed.hint("merge"), place).distinct(), "lines-bodies")
     firsts = bodies.where("_stays").join(groups.select("_key", "_bytes", "_n"), ["_key", "_bytes"]).select(
         "_key", "_bytes", "_n", F.col("_body").alias("_first_body")
@@ -125,7 +125,7 @@ def _without_repeats(
     )
     gone = written(gone.select(F.col("doc_id").alias(id_col), F.col("_row").alias("__row"), F.col("_gone").alias("__gone")), "lines-gone")
     # Rows without a repeat are not shuffled.
-    rows = maybe_in(docs.withColumn("__row", F.xxhash64(text_col)), gone, [id_col, "__row"])
+    rows = maybe_in(docs.withColumn("__row", F.xxhash64(text_col)), gone, [id_col, "__row"], "__maybe")
     marked = rows.where("__maybe").join(gone.hint("merge"), [id_col, "__row"], "left").unionByName(
         rows.where("NOT __maybe"), allowMissingColumns=True
     )

@@ -351,7 +351,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ranked = written(compared.withColumn("place", F.row_number().over(best)), "minhash-stars")
 
     ids = written(crowded.select("id").distinct(), "minhash-ids")
-    wanted = maybe_in(texts, ids, ["id"]).where("__maybe").drop("__maybe")
+    wanted = maybe_in(texts, ids, ["id"], "__maybe").where("__maybe").drop("__maybe")
     wanted = wanted.join(ids.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
     sets = written(wanted.transform(in_arrow, _sets, "id long, shingles binary"), "minhash-sets")
     links = _linked(ranked.where(F.col("place") <= FIRST), sets)
