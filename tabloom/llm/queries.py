@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from tabloom.llm.chat import learn, recover_turns, transcript_lines
 from tabloom.llm.common import fold, read_table
+from tabloom.llm.conversation_repair import damage, repair, summarize
 from tabloom.llm.decontaminate import find_leaks
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.language_id import identify
@@ -226,6 +227,13 @@ GROUP BY doc_id, item_id
 """
 
 
+@query
+def op11_conversation_repair(spark, folder):
+    """Damages the conversations by the hash of their turns and repairs them."""
+    damaged = damage(read_table(spark, folder, "conversations"))
+    return summarize(repair(damaged, present=F.col("present")))
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
