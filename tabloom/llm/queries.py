@@ -16,6 +16,7 @@ from tabloom.llm.language_id import identify
 from tabloom.llm.line_dedup import remove_passages, remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.periodic_runs import digest_runs, find_runs, with_loops
 from tabloom.llm.quality import score_quality
 from tabloom.llm.toxicity import score_toxicity
 from tabloom.llm.url_filter import judge_urls, rules_frame
@@ -234,6 +235,12 @@ def op11_conversation_repair(spark, folder):
     return summarize(repair(damaged, present=F.col("present")))
 
 
+@query
+def op13_periodic_runs(spark, folder):
+    """Plants loops in a tenth of the documents, by the hash of their ids, and finds all runs."""
+    return digest_runs(find_runs(with_loops(read_table(spark, folder, "documents"))))
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)

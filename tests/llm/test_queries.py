@@ -18,7 +18,7 @@ def duck(folder):
     return connection
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
 
 
