@@ -18,6 +18,7 @@ from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.periodic_runs import digest_runs, find_runs, with_loops
 from tabloom.llm.quality import score_quality
+from tabloom.llm.suffix_dedup import remove_repeated
 from tabloom.llm.toxicity import score_toxicity
 from tabloom.llm.url_filter import judge_urls, rules_frame
 
@@ -235,6 +236,14 @@ def op11_conversation_repair(spark, folder):
     return summarize(repair(damaged, present=F.col("present")))
 
 
+@query
+def op12_suffix_dedup(spark, folder):
+    found = remove_repeated(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op13_periodic_runs(spark, folder):
     """Plants loops in a tenth of the documents, by the hash of their ids, and finds all runs."""
