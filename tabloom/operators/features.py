@@ -84,34 +84,46 @@ def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _index_by_join(
     df: DataFrame, dictionaries: Mapping[str, DataFrame], sizes: Mapping[str, int]
 ) -> DataFrame:
-    """Index columns whose dictionaries do not fit on the driver.
+    """Index columns whose dictionaries do not fit on the driver, all by one lookup.
 
-    The frequent values of the table itself, seen or unseen, are counted first, in one
-    pass for all columns, and looked up by broadcast. Settled rows and nulls go through
-    the join under a key of their own that matches nothing and is spread by the hash
-    of the row. The input stands once in the plan, whatever the number of columns.
+    The rows are written once with a number each, so that two readings agree on it. All columns are turned into
+    narrow (row, column, value) entries. Frequent values of the table itself, seen or unseen, are settled by broadcast,
+    so no key of the rest is hot; the rest is joined once to the union of the dictionaries. The indexes of a row are
+    gathered (one entry per column) and joined back by its number. The wide table is shuffled
+    once, whatever the number of columns.
     """
-    frequent = _frequent_values(df, dictionaries, sizes)
     names = df.columns
-    spread = F.xxhash64(*(F.col(f"`{c}`") for c in names))
+    number = "_row"
+    while number in names:
+        number += "_"
+    path = fresh_path(df.sparkSession, "numbered-rows")
+    df.withColumn(number, F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    frequent = F.broadcast(_frequent_values(rows, dictionaries, sizes))
+
+    values = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in dictionaries))
+    entries = rows.select(F.col(number).alias("row"), F.inline(values)).where("value IS NOT NULL")
+    settled = entries.join(frequent, ["column", "value"])
+    known = None
     for column, dictionary in dictionaries.items():
+        labels = dictionary.select(F.lit(column).alias("column"), "value", "index")
+        known = labels if known is None else known.unionByName(labels)
+    path = fresh_path(df.sparkSession, "dictionaries")
+    known.write.parquet(path)
+    known = df.sparkSession.read.parquet(path)
+    rest = entries.join(frequent, ["column", "value"], "left_anti").join(known, ["column", "value"])
+    found = (
+        settled.select("row", "column", "index").unionByName(rest.select("row", "column", "index"))
+        .groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("column", "index"))).alias("_found"))
+        .withColumnRenamed("row", number)
+    )
+    indexed = []
+    for column in dictionaries:
         output = column + INDEXED
         nominal = {"ml_attr": {"type": "nominal", "num_vals": sizes[column] + 1, "name": output}}
-        settled = frequent.filter(F.col("column") == column).select(
-            F.col("value").alias("_value"), F.col("index").alias("_settled")
-        )
-        looked_up = df.join(F.broadcast(settled), F.col(column) == F.col("_value"), "left").drop("_value")
-        open_ = F.col("_settled").isNull() & F.col(column).isNotNull()
-        keyed = looked_up.withColumn(
-            "_key",
-            F.when(open_, F.concat(F.lit("v"), F.col(column))).otherwise(F.concat(F.lit("-"), spread.cast("string"))),
-        )
-        known = dictionary.select(F.concat(F.lit("v"), F.col("value")).alias("_key"), F.col("index").alias("_index"))
-        index = F.coalesce("_settled", "_index", F.lit(float(sizes[column])))
-        df = keyed.join(known, "_key", "left").select(
-            *(F.col(f"`{c}`") for c in df.columns), index.alias(output, metadata=nominal)
-        )
-    return df
+        index = F.coalesce(F.try_element_at("_found", F.lit(column)), F.lit(float(sizes[column])))
+        indexed.append(index.alias(output, metadata=nominal))
+    return rows.join(found, number, "left").select(*(F.col(f"`{c}`") for c in names), *indexed)
 
 
 def _frequent_values(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.session import fresh_path
 
-# Ranges of scores that are ranked side by side. More of them split a larger number of distinct scores finer.
-BUCKETS = 256
+# Distinct scores that one task ranks, about; buckets whose sums one task adds up.
+BUCKET_SCORES = 1 << 18
+BUCKETS_TOGETHER = 1 << 10
 
 
 def positive_score(vector: str = "rawPrediction") -> Column:
@@ -18,44 +18,45 @@ def positive_score(vector: str = "rawPrediction") -> Column:
 
 
 def auc_roc(
-    scored: DataFrame, label: str = "label", score: str = "score", buckets: int = BUCKETS
+    scored: DataFrame, label: str = "label", score: str = "score", bucket_scores: int = BUCKET_SCORES
 ) -> DataFrame:
     """Area under the ROC curve, exact with ties: the share of (1, 0) pairs ranked rightly.
 
     Rows with equal scores meet in the partial aggregate, so a hot score is one
     row per task. Each distinct score then needs the number of zeros scored
-    lower. Quantiles of the score cut its range into buckets: a window inside
-    each bucket counts the zeros there, and the zeros of all earlier buckets
-    are added for the bucket as a whole, over one row per bucket. The quantiles
-    are those of the distinct scores, so the buckets hold equal shares of what the
-    windows work on, however many rows share a score. The counts by score are
+    lower. The distinct scores are dealt by range into as many buckets as hold about `bucket_scores` of them each: a window inside
+    a bucket counts the zeros there. The zeros of all earlier buckets are added for a bucket as a whole, on
+    two levels: inside runs of BUCKETS_TOGETHER buckets, then over the runs. The counts by score are
     written to the shared folder first, so the rows are scored once. Null when a
     class is absent.
     """
     rows = scored.select(F.col(label).alias("label"), F.col(score).cast("double").alias("score"))
-    return _ranked(rows, buckets).select("auc")
+    return _ranked(rows, bucket_scores).select("auc")
 
 
-def by_score(rows: DataFrame, buckets: int, *totals: str) -> DataFrame:
-    """(score, ones, zeros, totals, bucket): one row per distinct score, in buckets of about equal numbers of them."""
-    path = fresh_path(rows.sparkSession, "by-score")
+def by_score(rows: DataFrame, bucket_scores: int, *totals: str) -> DataFrame:
+    """(score, ones, zeros, totals, bucket): one row per distinct score, in ranges of about `bucket_scores` of them."""
+    spark = rows.sparkSession
+    path = fresh_path(spark, "by-score")
     rows.groupBy("score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("ones"),
         F.count_if(F.col("label") == 0).cast("double").alias("zeros"),
         *(F.sum(t).alias(t) for t in totals),
     ).write.parquet(path)
-    counts = rows.sparkSession.read.parquet(path)
-    cuts = counts.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
-    inner = sorted(set(cuts) - {float("inf"), float("-inf")}) or [0.0]
-    splits = [float("-inf"), *inner, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
-    return bucketizer.transform(counts).withColumn("bucket", F.col("bucket").cast("int"))
+    counts = spark.read.parquet(path)
+    buckets = -(-counts.count() // bucket_scores)
+    if buckets <= 1:
+        return counts.withColumn("bucket", F.lit(0))
+    # The number of a range is that of its partition; written, it stays what it is.
+    path = fresh_path(spark, "by-score-ranges")
+    counts.repartitionByRange(buckets, "score").withColumn("bucket", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _ranked(rows: DataFrame, buckets: int, *totals: str) -> DataFrame:
+def _ranked(rows: DataFrame, bucket_scores: int, *totals: str) -> DataFrame:
     """One row: the AUC of (label, score), and the sums of further columns on the way."""
     sums = [F.sum(t).alias(t) for t in totals]
-    counts = by_score(rows, buckets, *totals)
+    counts = by_score(rows, bucket_scores, *totals)
     inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     lower = F.coalesce(F.sum("zeros").over(inside), F.lit(0.0))
     # one row per bucket from here on
@@ -63,14 +64,23 @@ def _ranked(rows: DataFrame, buckets: int, *totals: str) -> DataFrame:
         counts.withColumn("won", F.col("ones") * (lower + F.col("zeros") / 2))
         .groupBy("bucket")
         .agg(F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), *sums)
+        .withColumn("run", F.floor(F.col("bucket") / BUCKETS_TOGETHER))
     )
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum("zeros").over(before), F.lit(0.0))
-    return by_bucket.withColumn("won", F.col("won") + F.col("ones") * earlier).agg(
+    by_run = _with_earlier(by_bucket, "bucket", "run").groupBy("run").agg(
+        F.sum("won").alias("won"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), *sums
+    )
+    return _with_earlier(by_run, "run").agg(
         F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros")).alias("auc"), *sums
     )
 
 
+def _with_earlier(parts: DataFrame, order: str, *within: str) -> DataFrame:
+    """Adds the pairs that the ones of each part win against the zeros of all parts before it."""
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("zeros").over(before), F.lit(0.0))
+    return parts.withColumn("won", F.col("won") + F.col("ones") * earlier)
+
+
 def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return scored.agg(_accuracy(label, prediction))
 
@@ -108,7 +118,7 @@ def classification_report(scored: DataFrame, label: str = "label") -> DataFrame:
         F.lit(1).cast("bigint").alias("scored_rows"),
     )
     accuracy_ = F.try_divide(F.col("right").cast("double"), F.col("scored_rows").cast("double"))
-    return _ranked(rows, BUCKETS, "right", "scored_rows").select(
+    return _ranked(rows, BUCKET_SCORES, "right", "scored_rows").select(
         "auc", accuracy_.alias("accuracy"), "scored_rows"
     )
 

@@ -10,11 +10,12 @@ from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.config import BOOSTED, ELASTIC_NET, FOREST, FOREST_DEEP, GAUSSIAN_GLM, SEED
+from tabloom.operators.linear import RidgeModel, fit_ridge
 from tabloom.session import shared_folder
 
-# The normal equations of the generalized linear model hold one cell for each pair of
-# features on the driver; the library refuses more features than this.
-MAX_GLM_FEATURES = 4096
+# The normal equations of the library's generalized linear model hold one cell for each pair of
+# features on the driver; it refuses more features than this. Wider vectors are solved without them.
+DIRECT_FEATURES = 4096
 
 
 def forest(features: str = "features", label: str = "label", **settings) -> RandomForestClassifier:
@@ -56,24 +57,29 @@ def check_binary(df: DataFrame, label: str) -> None:
         raise ValueError(f"{bad} rows have a {label} that is neither 0 nor 1")
 
 
-def fit(estimator: Estimator, train: DataFrame) -> Model:
+def fit(estimator: Estimator, train: DataFrame) -> Model | RidgeModel:
     """Fit on rows laid out by the caller.
 
     Boosting cuts its lineage every few rounds, for which the shared folder must be set.
-    A generalized linear model of too many features is refused before any row is read.
+    A generalized linear model of more than DIRECT_FEATURES features is fitted by conjugate gradients, to the same optimum.
     """
     shared_folder(train.sparkSession)
     if isinstance(estimator, GeneralizedLinearRegression):
         attributes = train.schema[estimator.getFeaturesCol()].metadata.get("ml_attr", {})
-        width = attributes.get("num_attrs", 0)
-        if width > MAX_GLM_FEATURES:
-            raise ValueError(
-                f"{width} features are too many for a generalized linear model (at most {MAX_GLM_FEATURES}): "
-                "prune or group categories, or fit a linear regression"
-            )
+        if attributes.get("num_attrs", 0) > DIRECT_FEATURES:
+            return _fit_wide(estimator, train)
     return estimator.fit(train)
 
 
+def _fit_wide(estimator: GeneralizedLinearRegression, train: DataFrame) -> RidgeModel:
+    plain = estimator.getFamily() == "gaussian" and (not estimator.isDefined("link") or estimator.getLink() == "identity")
+    if not plain or estimator.isDefined("weightCol") or estimator.isDefined("offsetCol") or not estimator.getFitIntercept():
+        raise ValueError(f"more than {DIRECT_FEATURES} features: only least squares with an intercept and no weights is fitted")
+    return fit_ridge(
+        train, estimator.getFeaturesCol(), estimator.getLabelCol(), estimator.getRegParam(), estimator.getPredictionCol()
+    )
+
+
 def feature_importance(model: Model, names: Sequence[str], spark) -> DataFrame:
     """(feature, importance) for every feature, zeros included; one row per model input."""
     values = model.featureImportances.toArray()

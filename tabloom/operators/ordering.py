@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.hashing import row_digest
-from tabloom.functions.ranking import with_position
+from tabloom.functions.ranking import with_digest_position, with_position
 
 
 def sort_by_count(counts: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def top_1(counts: DataFrame) -> DataFrame:
 
 def shuffle_rows(df: DataFrame, key: str, salt: str = "shuffle") -> DataFrame:
     """A reproducible permutation: rows in order of the hash of their key, numbered from 1."""
-    return with_position(df, row_digest(salt, key), F.col(key))
+    return with_digest_position(df, row_digest(salt, key), F.col(key))
 
 
 def shuffle_rows_rng(df: DataFrame, seed: int) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from tabloom.config import (
     CLAIMS,
     CLAIMS_COLUMNS,
+    FOREST,
     FOREST_GRID,
     MISSING_LIMIT_PCT,
     SIGNAL_COLUMNS,
@@ -294,6 +295,17 @@ train AS (SELECT * FROM clean WHERE sp < 807045053224792832 AND (binaryclaim = 1
 _mean = "count(*) AS rows, round(avg(Claim_Amount), 2) AS mean_target, round(avg(Claim_Amount), 2) AS mean_prediction"
 ORACLE["linreg_elastic_net_mean"] = f"{MEANS} SELECT {_mean} FROM train"
 ORACLE["glm_gaussian_mean"] = f"{MEANS} SELECT {_mean} FROM train WHERE binaryclaim = 1"
+# Certificates: SQL states the rows they cover, and that nothing is off.
+ORACLE["rf_classify_deep_leaves"] = f"""{MEANS} SELECT count(*) AS rows, sum(binaryclaim) AS positives,
+  CAST(1 AS BIGINT) AS excess, CAST(0 AS BIGINT) AS differing FROM train"""
+for _name, _trees in (("rf_classify_splits", FOREST["numTrees"]), ("gbt_classify_splits", 1)):
+    ORACLE[_name] = f"""{SIGNAL} SELECT count(*) AS rows, sum(label) AS positives, CAST({_trees} AS BIGINT) AS excess,
+  CAST(0 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS miscounted FROM signal WHERE sp < 807045053224792832"""
+_slot_count = " + ".join(["12", *(f"(SELECT count(*) FROM index_{c})" for c in KEPT_NOMINAL), "1"])
+for _name in ("linreg_elastic_net_optimal", "glm_gaussian_optimal"):
+    ORACLE[_name] = f"{PREPARED} SELECT unnest(generate_series(0, {_slot_count} - 1)) AS position, TRUE AS met"
+ORACLE["glm_gaussian_wide"] = f"""{PREPARED}, submodels AS (SELECT count(DISTINCT Blind_Submodel) AS n FROM claims)
+SELECT unnest(generate_series(0, {_slot_count} + (SELECT n FROM submodels) - 1)) AS position, TRUE AS met"""
 ORACLE["one_hot_encode"] = (
     f"{PREPARED} SELECT Row_ID, "
     + _list(f"concat(i_{c}, '/', w_{c}) AS {c}_hot" for c in KEPT_NOMINAL)

@@ -7,6 +7,7 @@ settings whose result has a closed form or an exhaustive search in SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,23 +15,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tabloom.config import (
     BOOSTED_GRID,
     CLAIMS,
+    ELASTIC_NET,
     FOLDS,
     FOREST_GRID,
+    GAUSSIAN_GLM,
+    MISSING_LIMIT_PCT,
     SIGNAL_COLUMNS,
     SIGNAL_FEATURES,
+    ClaimsRoles,
 )
 from tabloom.functions.hashing import row_hash
 from tabloom.operators import (
+    binning,
     columns,
     features,
     filters,
     hurdle,
     impute,
+    linear,
     metrics,
     models,
     ordering,
     profile,
     sampling,
+    trees,
     tuning,
 )
 from tabloom.operators.features import ENCODED, INDEXED, assemble, vector_elements
@@ -240,8 +248,8 @@ def value_counts(spark, folder):
 @query
 def value_counts_imputed(spark, folder):
     raw = claims(spark, folder)
-    kept = _kept(raw)
-    return profile.value_counts(impute.impute_mode(raw, kept), kept)
+    modes = _kept_modes(raw)
+    return profile.value_counts(impute.fill_mode(raw, modes), list(modes))
 
 
 @query
@@ -344,21 +352,23 @@ KEPT_NOMINAL = ("Cat1", "Cat3", "Cat4", "Cat6", "Cat8", "Cat9", "Cat10", "Cat11"
 KEPT_CATEGORICAL = (*KEPT_NOMINAL, *CLAIMS.ordinal)
 
 
-def _kept(raw: DataFrame) -> list[str]:
-    """The categories whose missing rate is below the limit."""
-    rates = profile.missing_rate_from_counts(profile.value_counts(raw, CLAIMS.categorical))
-    kept = {r["column"] for r in profile.prune_by_missing_rate(rates).filter("keep").collect()}
-    return [c for c in CLAIMS.categorical if c in kept]
+def _kept_modes(raw: DataFrame) -> dict[str, str]:
+    """The most common value of each category whose missing rate is below the limit, from one count of all values."""
+    summary = {r["column"]: r for r in profile.category_summary(profile.value_counts(raw, CLAIMS.categorical)).collect()}
+    return {
+        c: summary[c]["mode"]
+        for c in CLAIMS.categorical
+        if c in summary and 100 * summary[c]["missing"] / summary[c]["row_count"] < MISSING_LIMIT_PCT
+    }
 
 
 @query
 def impute_mode(spark, folder):
     """All categories; those that pruning removes are null."""
     raw = claims(spark, folder)
-    kept = _kept(raw)
-    gone = {c: F.lit(None).cast("string") for c in CLAIMS.categorical if c not in kept}
-    filled = impute.impute_mode(raw, kept).withColumns(gone)
-    return filled.select(CLAIMS.row_id, *CLAIMS.categorical)
+    modes = _kept_modes(raw)
+    gone = {c: F.lit(None).cast("string") for c in CLAIMS.categorical if c not in modes}
+    return impute.fill_mode(raw, modes).withColumns(gone).select(CLAIMS.row_id, *CLAIMS.categorical)
 
 
 @query
@@ -559,9 +569,9 @@ def boosted_report(spark, folder):
     return signal_plan.fit_classifier(_signal_prepared(spark, folder), models.boosted()).report()
 
 
-def _on_balanced(spark, folder, run):
+def _on_balanced(spark, folder, run, roles: ClaimsRoles = CLAIMS):
     """The result of `run` over the persisted balanced rows, which are freed once it is written."""
-    rows = claims_plan.balance_and_split(claims(spark, folder))
+    rows = claims_plan.balance_and_split(claims(spark, folder), roles)
     path = fresh_path(spark, "balanced-result")
     try:
         run(rows).write.parquet(path)
@@ -741,6 +751,101 @@ def split_train_test_rng_parts(spark, folder):
     return _parts(train, test).groupBy(ROW_ID, "label").agg(F.count("*").alias("copies"))
 
 
+# --- models, full settings: certificates of what was learned ---
+
+
+@query
+def rf_classify_deep_leaves(spark, folder):
+    """One tree of the deep forest without a bootstrap: the training rows routed through it, counted by leaf and class."""
+
+    def check(rows):
+        estimator = models.forest_deep(claims_plan.FINAL_VECTOR, CLAIMS.label, numTrees=1, bootstrap=False)
+        model = models.fit(estimator, rows.train)
+        nodes = trees.node_table(spark, model)
+        depth = estimator.getMaxDepth()
+        return trees.check_leaves(rows.train, claims_plan.FINAL_VECTOR, CLAIMS.label, nodes, depth)
+
+    return _on_balanced(spark, folder, check)
+
+
+def _binned_train(spark, folder, bins: int) -> DataFrame:
+    """Training rows of the signal table, their features as a vector of bin numbers, so that every cut is known."""
+    train, _ = sampling.split_train_test(signal(spark, folder), ROW_ID)
+    classes = {"ml_attr": {"type": "nominal", "num_vals": 2, "name": "label"}}
+    binned = binning.fit_bins(train, SIGNAL_FEATURES, bins).vector(train, "features")
+    return binned.select(ROW_ID, "features", F.col("label").alias("label", metadata=classes))
+
+
+def _split_check(spark, train: DataFrame, estimator, value: Column) -> DataFrame:
+    nodes = trees.node_table(spark, models.fit(estimator, train))
+    checked = trees.check_splits(train, "features", value, nodes, estimator.getMaxDepth())
+    rows = train.agg(F.count("*").alias("rows"), F.sum("label").alias("positives")).first()
+    return checked.select(F.lit(rows["rows"]).alias("rows"), F.lit(rows["positives"]).alias("positives"), "*")
+
+
+@query
+def rf_classify_splits(spark, folder):
+    """The forest at its full depth, without a bootstrap: no cut of a node gains more than the one it was split at."""
+    estimator = models.forest(bootstrap=False)
+    return _split_check(spark, _binned_train(spark, folder, estimator.getMaxBins()), estimator, F.col("label"))
+
+
+@query
+def gbt_classify_splits(spark, folder):
+    """The same of the first round of boosting, which fits -1 and +1."""
+    estimator = models.boosted(maxIter=1)
+    return _split_check(spark, _binned_train(spark, folder, estimator.getMaxBins()), estimator, 2 * F.col("label") - 1)
+
+
+# Within what the gradient of a standardised column must balance its penalty.
+OPTIMUM_TOLERANCE = 5e-4
+
+
+@query
+def linreg_elastic_net_optimal(spark, folder):
+    """The elastic net on the full vector: whether each position meets the condition of the optimum."""
+
+    def check(rows):
+        model = claims_plan.regress_claims(rows).model
+        found = linear.check_optimum(
+            model.transform(rows.train), claims_plan.FINAL_VECTOR, CLAIMS.target, "prediction", model.coefficients,
+            ELASTIC_NET["regParam"], ELASTIC_NET["elasticNetParam"], OPTIMUM_TOLERANCE,
+        )
+        return found.select("position", "met")
+
+    return _on_balanced(spark, folder, check)
+
+
+def _glm_check(rows) -> DataFrame:
+    train = filters.train_positive(rows.train)
+    model = models.fit(models.gaussian_glm(claims_plan.FINAL_VECTOR, CLAIMS.target), train)
+    found = linear.check_optimum(
+        model.transform(train), claims_plan.FINAL_VECTOR, CLAIMS.target, "combo_prediction", model.coefficients,
+        GAUSSIAN_GLM["regParam"], 0.0, OPTIMUM_TOLERANCE,
+    )
+    return found.select("position", "met")
+
+
+@query
+def glm_gaussian_optimal(spark, folder):
+    """The generalized linear model on the full vector: whether each position meets the condition of the optimum."""
+    return _on_balanced(spark, folder, _glm_check)
+
+
+# A category of a label for almost every row.
+WIDE = replace(
+    CLAIMS,
+    identifiers=tuple(c for c in CLAIMS.identifiers if c != "Blind_Submodel"),
+    nominal=(*CLAIMS.nominal, "Blind_Submodel"),
+)
+
+
+@query
+def glm_gaussian_wide(spark, folder):
+    """The same on a vector with a slot for each submodel: wider than normal equations allow."""
+    return _on_balanced(spark, folder, _glm_check, roles=WIDE)
+
+
 # --- models, reduced settings with an exact answer ---
 
 

@@ -1,5 +1,6 @@
 """Operators on small tables, against brute force and edge cases."""
 
+import hashlib
 import math
 import random
 
@@ -52,6 +53,15 @@ def test_positions_number_all_rows_with_ties(spark):
     assert {r["i"]: r["position"] for r in rows} == expected
 
 
+def test_digest_positions_take_one_shuffle_of_the_rows(letters):
+    shuffled = shuffle_rows(letters, "id")
+    plan = plan_of(shuffled)
+    rows = [line for line in plan.split("\n") if "hashpartitioning(_range" in line]
+    assert len(rows) == 2 and "rangepartitioning" not in plan  # the rows, and the counts of the ranges
+    digests = sorted((hashlib.md5(f"shuffle:{r['id']}".encode()).hexdigest(), r["id"]) for r in letters.collect())
+    assert {r["id"]: r["position"] for r in shuffled.collect()} == {i: p + 1 for p, (_, i) in enumerate(digests)}
+
+
 def test_shuffle_does_not_depend_on_layout(letters):
     orders = [
         {r["id"]: r["position"] for r in shuffle_rows(letters.repartition(n), "id").collect()} for n in (1, 3, 8)
@@ -188,18 +198,30 @@ def test_unseen_value_on_a_third_of_the_rows_is_settled_by_broadcast(letters):
     assert rows.count() == 667 and rows.filter(F.col("c_ind") != large.sizes["c"]).isEmpty()
 
 
-def test_index_by_join_reads_its_input_once(letters, tmp_path):
-    letters.write.parquet(str(tmp_path / "letters"))
-    table = letters.sparkSession.read.parquet(str(tmp_path / "letters"))
-    for c in ("e", "f", "g"):
-        table = table.withColumn(c, F.concat(F.lit(c), "c"))
-    names = ["c", "e", "f", "g"]
-    large = ft.fit_string_index(profile.value_counts(table, names), names, max_labels=0)
-    plan = large.transform(table)._jdf.queryExecution().explainString(
-        table.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+def plan_of(frame):
+    return frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    tables = [line for line in plan.split("\n") if line.startswith("Location:") and "letters" in line]
-    assert len(tables) == 1
+
+
+@pytest.mark.parametrize("columns", [1, 4, 9])
+def test_index_by_join_shuffles_the_table_once(letters, columns):
+    names = [f"e{i}" for i in range(columns)]
+    table = letters.withColumns({n: F.concat(F.lit(n), "c") for n in names})
+    large = ft.fit_string_index(profile.value_counts(table, names), names, max_labels=0)
+    plan = plan_of(large.transform(table))
+    exchanges = [line for line in plan.split("\n") if ") Exchange" in line]
+    wide = [line for line in plan.split("\n") if line.startswith("Input") and all(f"{n}#" in line for n in [*names, "id"])]
+    assert len(exchanges) <= 4  # entries, dictionaries, folded entries, rows
+    assert "NestedLoop" not in plan and wide
+
+
+def test_index_by_join_keeps_columns_of_any_name(letters):
+    table = letters.withColumnRenamed("d", "_row").withColumn("a.b", F.lit(1))
+    large = ft.fit_string_index(profile.value_counts(table, ["c"]), ["c"], max_labels=0)
+    found = large.transform(table)
+    assert found.columns == [*table.columns, "c_ind"]
+    assert found.drop("c_ind").exceptAll(table).isEmpty() and found.count() == 2000
 
 
 def test_stored_vectors_are_read_as_they_are(spark):
@@ -260,8 +282,18 @@ def test_auc_with_one_hot_score_and_far_values(spark):
 def test_auc_buckets_hold_equal_shares_of_distinct_scores(spark):
     """Also where 99 of 100 rows have one score."""
     rows = spark.range(200_000).selectExpr("CAST(id % 2 AS DOUBLE) AS label", "if(id % 100 = 0, id / 7, 0.5) AS score")
-    sizes = [r["count"] for r in metrics.by_score(rows, 20).groupBy("bucket").count().collect()]
-    assert sum(sizes) == 2001 and max(sizes) <= 3 * 2001 / 20
+    sizes = [r["count"] for r in metrics.by_score(rows, 100).groupBy("bucket").count().collect()]
+    assert sum(sizes) == 2001 and max(sizes) <= 300
+
+
+def test_auc_of_many_scores_in_small_buckets(spark, monkeypatch):
+    """A million distinct scores; buckets stay small and are added up on two levels."""
+    monkeypatch.setattr(metrics, "BUCKETS_TOGETHER", 8)
+    rows = spark.range(1_000_000).selectExpr("CAST(id % 3 = 0 AS DOUBLE) AS label", "id * 7919 % 1000003 / 13.0D AS score")
+    counts = metrics.by_score(rows, 25_000)
+    assert max(r["count"] for r in counts.groupBy("bucket").count().collect()) <= 60_000
+    fine = metrics.auc_roc(rows, bucket_scores=25_000).first()["auc"]
+    assert fine == pytest.approx(metrics.auc_roc(rows).first()["auc"], abs=1e-12)
 
 
 def test_auc_of_one_class_is_null(spark):

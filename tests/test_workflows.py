@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tabloom import jobs
 from tabloom.config import CLAIMS, CLAIMS_COLUMNS, SIGNAL_COLUMNS, SIGNAL_FEATURES, ClaimsRoles
-from tabloom.operators import models, profile, sampling, tuning
+from tabloom.operators import linear, models, profile, sampling, trees, tuning
+from tabloom.operators.features import assemble
 from tabloom.plans import claims as claims_plan
 from tabloom.plans import signal as signal_plan
 from tabloom.plans.queries import KEPT_NOMINAL, QUERIES
@@ -81,13 +82,80 @@ def test_fit_fails_on_other_labels_and_counts_no_classes(spark, prepared):
         models.fit(models.forest(numTrees=1), odd)
 
 
-def test_wide_linear_models_are_refused_by_name(spark):
+def test_ridge_by_conjugate_gradients_equals_the_library(balanced):
+    train = balanced.train.filter(F.col(CLAIMS.label) == 1)
+    library = models.fit(models.gaussian_glm("finalvector", CLAIMS.target), train)
+    ours = linear.fit_ridge(train, "finalvector", CLAIMS.target, 0.01, "ours", tolerance=1e-10)
+    assert np.array(ours.coefficients) == pytest.approx(np.array(library.coefficients), rel=1e-5, abs=1e-5)
+    assert ours.intercept == pytest.approx(library.intercept, rel=1e-6)
+    both = ours.transform(library.transform(train)).select("ours", "combo_prediction").collect()
+    assert [r["ours"] for r in both] == pytest.approx([r["combo_prediction"] for r in both], rel=1e-6)
+
+
+def test_wide_linear_models_are_solved_without_normal_equations(spark):
     from pyspark.ml.linalg import Vectors
 
-    wide = spark.createDataFrame([(Vectors.sparse(5000, [1], [1.0]), 1.0)], ["v", "y"])
+    rows = [(Vectors.sparse(5000, [i % 7, 100 + i], [1.0, 2.0]), float(i % 7 + i / 50)) for i in range(200)]
+    wide = spark.createDataFrame(rows, ["v", "y"])
     wide = wide.withColumn("v", F.col("v").alias("v", metadata={"ml_attr": {"num_attrs": 5000}}))
-    with pytest.raises(ValueError, match="5000 features"):
-        models.fit(models.gaussian_glm("v", "y"), wide)
+    model = models.fit(models.gaussian_glm("v", "y"), wide)
+    scored = model.transform(wide)
+    assert isinstance(model, linear.RidgeModel) and model.steps > 0
+    met = linear.check_optimum(scored, "v", "y", "combo_prediction", model.coefficients, 0.01, 0.0, 1e-4)
+    assert met.count() == 5000 and met.where("NOT met").isEmpty()
+    with pytest.raises(ValueError, match="least squares"):
+        models.fit(models.gaussian_glm("v", "y", family="poisson", link="log"), wide)
+
+
+def test_ridge_edge_cases(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    flat = spark.createDataFrame([(Vectors.dense([1.0, 2.0]), 3.0), (Vectors.dense([2.0, 2.0]), 3.0), (None, 9.0)], ["v", "y"])
+    model = linear.fit_ridge(flat, "v", "y", 0.1)
+    assert model.intercept == 3.0 and not np.array(model.coefficients).any()
+    empty = linear.fit_ridge(flat.where("y < 0"), "v", "y", 0.1)
+    assert (empty.intercept, empty.coefficients.size) == (0.0, 0)
+
+
+def test_certificate_finds_a_wrong_model(balanced):
+    model = models.fit(models.elastic_net("finalvector", CLAIMS.target, maxIter=1), balanced.train)
+    scored = model.transform(balanced.train)
+    met = linear.check_optimum(scored, "finalvector", CLAIMS.target, "prediction", model.coefficients, 0.1, 0.5, 5e-4)
+    assert not met.where("NOT met").isEmpty()
+
+
+# --- trees as tables ---
+
+
+def test_routed_rows_end_in_the_leaves_of_the_library(prepared):
+    train, _ = sampling.split_train_test(prepared, "row_id")
+    model = models.fit(models.forest(numTrees=3, maxDepth=4).setLeafCol("leaves"), train)
+    nodes = trees.node_table(train.sparkSession, model)
+    routed = trees.route(model.transform(train).select("row_id", "features", "leaves"), "features", nodes, 4)
+    pairs = routed.select("tree", "node", F.get(vector_to_array("leaves"), F.col("tree")).alias("leaf")).distinct().collect()
+    assert routed.count() == 3 * train.count()
+    assert len(pairs) == len({(r["tree"], r["node"]) for r in pairs}) == len({(r["tree"], r["leaf"]) for r in pairs})
+
+
+def test_split_certificate_finds_a_worse_split(spark):
+    """A tree that was not allowed to use its best feature."""
+    rows = [(float(i % 2), float(i % 4 // 2), float(i % 2 if i % 10 else 1 - i % 2)) for i in range(400)]
+    table = spark.createDataFrame(rows, "a double, b double, label double")
+    both = assemble(table, ["a", "b"], "features").withColumn("label", F.col("label").alias("label", metadata={"ml_attr": {"type": "nominal", "num_vals": 2}}))
+    good = models.fit(models.forest(numTrees=1, maxDepth=1, bootstrap=False), both)
+    right = trees.check_splits(both, "features", F.col("label"), trees.node_table(spark, good), 1).first()
+    assert tuple(right) == (1, 0, 0)
+    swapped = assemble(table, ["b", "a"], "features")
+    wrong = trees.check_splits(swapped, "features", F.col("label"), trees.node_table(spark, good), 1).first()
+    assert wrong["violations"] == 1
+
+
+def test_leaf_check_finds_other_rows(prepared):
+    train, test = sampling.split_train_test(prepared, "row_id")
+    model = models.fit(models.forest(numTrees=1, maxDepth=3, bootstrap=False), train)
+    nodes = trees.node_table(train.sparkSession, model)
+    assert trees.check_leaves(train, "features", "label", nodes, 3).first()["differing"] == 0
+    assert trees.check_leaves(test, "features", "label", nodes, 3).first()["differing"] > 0
 
 
 def test_two_stage_report_scores_once(balanced):
