@@ -33,6 +33,7 @@ from tabloom.llm.arrow import in_arrow, slices
 from tabloom.llm.common import written
 
 SPAN, GRAM = 50, 20
+LONG_GRAM = 34
 GRAMS = SPAN - GRAM + 1  # strings of GRAM bytes in a window, and windows of a segment at most
 CHUNK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20  # bytes that are hashed at a time
@@ -353,15 +354,28 @@ def _suffix_order(symbols: np.ndarray, rest: np.ndarray) -> np.ndarray:
     n = len(symbols)
     packed = _words(symbols)[:n].byteswap()
     cut = (np.maximum(8 - rest, 0) * 8).astype(np.uint64)
-    rank = np.unique((packed >> cut) << cut, return_inverse=True)[1].astype(np.int64)
-    depth = 8
-    while depth < SPAN + GRAMS:
-        after = np.zeros(n, np.int64)
-        inside = np.flatnonzero(rest > depth)
-        after[inside] = rank[inside + depth] + 1
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1]
+    key = (packed >> cut) << cut
+    # Only suffixes that share their rank with others are looked at again, by twice as many symbols.
+    tied, rank, depth = np.argsort(key, kind="stable"), np.zeros(n, np.int64), 8
+    key = key[tied]
+    while True:
+        opens = np.ones(len(tied), bool)
+        opens[1:] = key[1:] != key[:-1]
+        whole = np.ones(len(tied), bool)
+        whole[1:] = rank[tied[1:]] != rank[tied[:-1]]
+        index = np.arange(len(tied))
+        head, first = (np.maximum.accumulate(np.where(f, index, 0)) for f in (opens, whole))
+        rank[tied] += head - first
+        tied = tied[~(opens & np.append(opens[1:], True))]
+        if depth >= SPAN + GRAMS or not len(tied):
+            return np.argsort(rank, kind="stable")
+        after = np.zeros(len(tied), np.int64)
+        inside = rest[tied] > depth
+        after[inside] = rank[tied[inside] + depth] + 1
+        key = rank[tied] * (n + 1) + after
+        order = np.argsort(key, kind="stable")
+        tied, key = tied[order], key[order]
         depth *= 2
-    return np.argsort(rank, kind="stable")
 
 
 class Merged:
@@ -390,19 +404,36 @@ class Merged:
         first = where[short]
         first_symbols = np.where(rest[short] > 1, wide[short] << np.uint16(8), 0).astype(np.uint16)
 
+        follower = np.full(len(order), len(order), np.int32)
+        follower[leads[source]] = source
+
         merged, block = np.arange(len(order), dtype=np.int32), np.zeros(len(order), np.int32)
+        # A suffix that is alone in its block has found its place; the others move within theirs. A suffix
+        # leads while the one it is followed to moves; `seat` and `leads_here` have a last element for no suffix.
+        slots, moving, leading = np.arange(len(order)), np.ones(len(order), bool), np.append(usable, False)
+        seat, leads_here, open_first = np.arange(len(order) + 1), leading.copy(), np.ones(len(first), bool)
         for _ in range(0, SPAN, STEP):
-            used = usable[merged]
+            used = np.flatnonzero(leads_here)
             taken = merged[used]
-            pair = np.concatenate([first_symbols, before[taken]])
+            pair = np.concatenate([first_symbols[open_first], before[taken]])
             dealt = np.argsort(pair, kind="stable")
-            merged = np.concatenate([first, leads[taken]])[dealt]
+            moved = np.concatenate([first[open_first], leads[taken]])[dealt]
             pair = pair[dealt]
-            block = np.concatenate([np.full(len(first), -1, np.int32), block[used]])[dealt]
-            opens = np.zeros(len(dealt), bool)
-            opens[1:] = (pair[1:] != pair[:-1]) | (block[1:] != block[:-1])
-            block = np.cumsum(opens, dtype=np.int32)
-        self.place, self.block = order[merged], block
+            came = np.concatenate([np.full(len(pair) - len(taken), -1, np.int32), block[used]])[dealt]
+            opens = np.ones(len(dealt), bool)
+            opens[1:] = (pair[1:] != pair[:-1]) | (came[1:] != came[:-1])
+            merged[slots], seat[moved] = moved, slots
+            block[slots] = slots[np.maximum.accumulate(np.where(opens, np.arange(len(slots)), 0))]
+            leads_here[slots] = leading[moved]
+            alone = opens & np.append(opens[1:], True)
+            moving[moved[alone]] = False
+            leader = follower[moved[alone]]
+            leading[leader] = leads_here[seat[leader]] = False
+            open_first = moving[first]
+            slots = slots[~alone]
+            if not len(slots):
+                break
+        self.place, self.block = order[merged], np.cumsum(np.diff(block, prepend=0) != 0)
 
 
 def owners(data: np.ndarray, begin: np.ndarray, windows: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -431,6 +462,24 @@ def owners(data: np.ndarray, begin: np.ndarray, windows: np.ndarray, least: np.n
     return found[offset < windows[number]]
 
 
+def _common(data: np.ndarray, begin: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Whether some window of a text may be in another: their least strings of LONG_GRAM bytes are compared by hash."""
+    size = windows + SPAN - 1
+    words = _words(_bytes_of(data, begin, size))
+    least = _least(_hash_at(words, slice(0, len(words) - LONG_GRAM), LONG_GRAM), SPAN - LONG_GRAM + 1)
+    text = np.repeat(np.arange(len(size)), windows)
+    value = least[_stretches(np.cumsum(size) - size, windows)]
+    order = np.argsort(value, kind="stable")
+    value, text = value[order], text[order]
+    head = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    # the sort is stable, so the texts of one value ascend
+    ends = np.append(head[1:], len(value)) - 1
+    shared = np.repeat(text[head] != text[ends], ends - head + 1)
+    common = np.zeros(len(size), bool)
+    common[text[shared]] = True
+    return common
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, blob): for segments of each chunk, stretches of windows with their owner, where it is not the only one."""
     kinds = (np.int64, np.int32, np.int64, np.int64, np.uint16, np.uint8, np.uint8)
@@ -445,15 +494,17 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample, member = _distinct(_words(data), begin, windows)
         first = np.full(len(sample), LAST)
         np.minimum.at(first, member, least)
-        # Whole keys at a time, so that equal windows are merged together.
-        order = np.argsort(key[sample], kind="stable")
+        total = np.cumsum(windows[sample])
+        owner = np.repeat(first, windows[sample])
+        # Whole keys at a time, so that equal windows are merged together. A text without a long string that another has
+        # owns its windows.
+        order = np.flatnonzero(_common(data, begin[sample], windows[sample]))
+        order = order[np.argsort(key[sample][order], kind="stable")]
         ordered = key[sample][order]
         ends = np.cumsum(windows[sample][order] + SPAN)
         heads = np.flatnonzero(np.diff(ordered.astype(np.int64), prepend=-1))
-        lot = (ends[np.append(heads[1:] - 1, len(order) - 1)] // MERGE_BYTES) if len(order) else np.empty(0, np.int64)
+        lot = ends[np.append(heads[1:], len(order))[: len(heads)] - 1] // MERGE_BYTES
         cuts = np.append(heads[np.flatnonzero(np.diff(lot, prepend=-1))], len(order))
-        total = np.cumsum(windows[sample])
-        owner = np.empty(int(total[-1]), np.int64)
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             text = order[low:high]
             found = owners(data, begin[sample[text]], windows[sample[text]], first[text])
@@ -550,7 +601,7 @@ def remove_repeated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     key_groups, groups = 1 + size * 3 // 10 // GROUP_BYTES, 1 + size // GROUP_BYTES
 
     def grouped(sent: DataFrame, count: int) -> DataFrame:
-        return sent.repartition(count, "bucket").sortWithinPartitions("bucket")
+        return sent.repartitionById(count, F.col("bucket").cast("int"))
 
     sent = in_arrow(chunks, partial(_send_keys, groups=key_groups), "bucket long, blob binary")
     marks = in_arrow(grouped(sent, key_groups), partial(_mark, hot=hot), "chunk long, bucket long, blob binary")
