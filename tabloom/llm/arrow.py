@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,13 +16,25 @@ BATCH_BYTES = "8m"
 Batches = Iterator[pa.RecordBatch]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and would keep the most it ever held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema) -> DataFrame:
-    """`df.mapInArrow` with batches of about BATCH_BYTES, which the session keeps, and freed memory given back."""
+    """`df.mapInArrow` with batches of about BATCH_BYTES, and freed memory given back at the end of a task.
+
+    The size of batches is a setting of the session that is read when a plan runs, so it stays set there.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def run(batches: Batches) -> Batches:
         yield from function(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

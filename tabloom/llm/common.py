@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tabloom.session import fresh_path
 from tabloom.sources.tables import read_table
 
-__all__ = ["bind", "fold", "lower_ascii", "maybe_in", "read_table", "salted_join", "written"]
+__all__ = ["bind", "fold", "free_name", "lower_ascii", "maybe_in", "read_table", "salted_join", "written"]
 
 # Size of the filters that go to all tasks, in bits: 8 MB at most, whatever the input.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
@@ -40,10 +40,14 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(key.cast("string")) % parts
 
 
+# What a task holds of a table it writes, in each of the two forms Parquet needs.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -73,6 +77,13 @@ def salted_join(
 
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one if `df` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
 def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "_maybe") -> DataFrame:
     """`rows` with a boolean column: false only if the row's key is not among those of `members`.
@@ -86,16 +97,17 @@ def maybe_in(rows: DataFrame, members: DataFrame, keys: list[str], flag: str = "
     while bits < min(8 * count, MOST_BITS):
         bits *= 2
     slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    page, mask = free_name(rows, "__page"), free_name(rows, "__bits")
     pages = (
         members.select(slot.alias("_slot"))
-        .groupBy(F.bitmap_bucket_number("_slot").alias("__page"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("__bits"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias(page))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias(mask))
     )
     place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(mask, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
-    looked_up = rows.withColumn("__page", F.bitmap_bucket_number(slot)).join(F.broadcast(pages), "__page", "left")
-    return looked_up.withColumn(flag, held).drop("__page", "__bits")
+    looked_up = rows.withColumn(page, F.bitmap_bucket_number(slot)).join(F.broadcast(pages), page, "left")
+    return looked_up.withColumn(flag, held).drop(page, mask)
 
 
 def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
@@ -103,7 +115,8 @@ def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
 
     Only rows that may be dropped are shuffled.
     """
-    marked = maybe_in(docs, gone, [id_col], "__maybe")
-    doubtful = marked.where("__maybe").join(gone.hint("merge"), id_col, "left_anti")
+    flag = free_name(docs, "__maybe")
+    marked = maybe_in(docs, gone, [id_col], flag)
+    doubtful = marked.where(F.col(flag)).join(gone.hint("merge"), id_col, "left_anti")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return marked.where("NOT __maybe").select(*columns).unionByName(doubtful.select(*columns))
+    return marked.where(~F.col(flag)).select(*columns).unionByName(doubtful.select(*columns))

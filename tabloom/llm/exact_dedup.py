@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import lower_ascii, maybe_in, salted_join, written
+from tabloom.llm.common import free_name, lower_ascii, maybe_in, salted_join, written
 
 PREFIX_CHARS = 64
 
@@ -26,7 +26,7 @@ def _shared(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 def find_copies(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False
 ) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs` with an id.
+    """(doc_id, keep_id, group_size, kept, text_sha256, text_length), one row per row of `docs` with an id.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. The largest
     id of a group stays. Rows without an id cannot be named and are left out. Rows that
@@ -53,9 +53,13 @@ def find_copies(
     in_doubt = suspects.select("doc_id", "_length").distinct()
     contents = named.select(F.col(id_col).alias("doc_id"), F.octet_length(text).alias("_length"), text.alias("_text"))
     if not digest_all:
-        contents = contents.join(in_doubt, ["doc_id", "_length"], "left_semi")
+        # texts are ruled out, and hashed, where they stand
+        in_doubt = written(in_doubt, "copies-doubt")
+        contents = maybe_in(contents, in_doubt, ["doc_id", "_length"]).where("_maybe")
     digest = F.sha2(lower_ascii(F.col("_text")), 256).alias("text_sha256")
     hashed = written(contents.select("doc_id", "_length", digest), "copies-digest")
+    if not digest_all:
+        hashed = hashed.join(in_doubt, ["doc_id", "_length"], "left_semi")
     groups = written(
         hashed.join(in_doubt, ["doc_id", "_length"], "left_semi")
         .groupBy("text_sha256")
@@ -65,7 +69,7 @@ def find_copies(
     )
     found = salted_join(hashed, groups, ["text_sha256"], "group_size", spread, "left")
     if not digest_all:
-        settled = marks.join(in_doubt, ["doc_id", "_length"], "left_anti").select("doc_id")
+        settled = marks.join(in_doubt, ["doc_id", "_length"], "left_anti").select("doc_id", "_length")
         found = found.unionByName(settled, allowMissingColumns=True)
     keep = F.coalesce("_largest", "doc_id")
     return found.select(
@@ -74,6 +78,7 @@ def find_copies(
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("doc_id") == keep).alias("kept"),
         "text_sha256",
+        F.col("_length").cast("long").alias("text_length"),
     )
 
 
@@ -83,17 +88,20 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Of rows that repeat the kept id and its text one stays. Rows without an id are kept.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = find_copies(docs, id_col=id_col, text_col=text_col, digest_all=True)
-    # only rows of a group of copies are shuffled
+    length, digest, kept, flag = (free_name(docs, n) for n in ("__length", "__digest", "__kept", "__maybe"))
+    found = find_copies(docs, id_col=id_col, text_col=text_col)
     copies = written(
-        found.where("group_size > 1").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias("__digest"), F.col("kept").alias("__kept")),
+        found.where("group_size > 1").select(
+            F.col("doc_id").alias(id_col), F.col("text_length").alias(length), F.col("text_sha256").alias(digest), F.col("kept").alias(kept)
+        ),
         "copies-found",
     )
-    digest = F.sha2(lower_ascii(_text(text_col)), 256)
-    marked = maybe_in(docs.withColumn("__digest", digest), copies, [id_col, "__digest"], "__maybe")
-    doubtful = marked.where("__maybe").join(copies.hint("merge"), [id_col, "__digest"], "left")
-    doubtful = doubtful.where("coalesce(__kept, true)")
+    # Only rows that share id and length with one of a group of copies are hashed and shuffled.
+    sized = docs.withColumn(length, F.octet_length(_text(text_col)))
+    marked = maybe_in(sized, copies, [id_col, length], flag)
+    doubtful = marked.where(F.col(flag)).withColumn(digest, F.sha2(lower_ascii(_text(text_col)), 256))
+    doubtful = doubtful.join(copies.drop(length).hint("merge"), [id_col, digest], "left")
     # rows that repeat an id and its text have one partner each in `copies`, and more than one in the join
-    single = doubtful.where("__kept IS NULL").select(*columns)
-    kept = doubtful.where("__kept").dropDuplicates([id_col, "__digest"]).select(*columns)
-    return marked.where("NOT __maybe").select(*columns).unionByName(single).unionByName(kept)
+    single = doubtful.where(F.col(kept).isNull()).select(*columns)
+    stays = doubtful.where(F.col(kept)).dropDuplicates([id_col, digest]).select(*columns)
+    return marked.where(~F.col(flag)).select(*columns).unionByName(single).unionByName(stays)

@@ -20,7 +20,7 @@ def labelled_sample(
     """(id, text, label, part): at most `limit` labelled rows that are not held out.
 
     Rows are taken in the order of a hash of the id, so the sample is the same in every layout. Of repeated labels of
-    one id the largest counts. `part` is a second hash in [0, 100). The labels broadcast are `limit` rows at most.
+    one id the largest counts, of repeated texts that of the smallest hash. `part` is a second hash in [0, 100). The labels broadcast are `limit` rows at most.
     """
     usable = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull())
     chosen = (
@@ -31,4 +31,5 @@ def labelled_sample(
         .withColumn("part", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("part")), F.lit(100)).cast("int"))
     )
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id")
+    one = F.min_by(F.struct("text", "label", "part"), F.struct(F.xxhash64("text"), "text"))
+    return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(one.alias("_one")).select("id", "_one.*")

@@ -14,19 +14,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.llm.arrow import in_arrow, slices
-from tabloom.llm.common import fold
+from tabloom.llm.common import fold, written
 
 WINDOW = 64
 STATES = 8
 UNKNOWN = "und"
-# Bounds of the training sample: about this many documents of each language, one excerpt of each.
+# Bounds of the training sample: documents of each language, fewer of each if there are many languages, but one at least.
 SAMPLE_PER_LANGUAGE = 600
 MAX_SAMPLE = 20_000
-EXCERPT = 512
-MAX_LANGUAGES = 100
+# Excerpts of a document, spread evenly over its whole text, and characters of each.
+EXCERPTS, EXCERPT = 8, 64
 EPOCHS, BATCH, RATE = 4, 256, 0.02
 PIECE_BYTES = 1 << 20
 LANES = 1024  # windows that run side by side when scoring
@@ -227,33 +227,32 @@ def held_out(id_column: Column) -> Column:
 def training_sample(docs: DataFrame, *, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], list[str]]:
     """Excerpts and languages of a bounded sample of learnable rows.
 
-    Rows are drawn by the hash of the id at a rate that gives each language about
-    SAMPLE_PER_LANGUAGE of them, from the MAX_LANGUAGES most frequent values. The excerpt
-    begins at a place that follows from the hash as well.
+    Of each language the rows with the smallest hashes of the id are taken, SAMPLE_PER_LANGUAGE of them or, with many
+    languages, an equal part of MAX_SAMPLE; no language is left out. EXCERPTS pieces of each text are used, one from each
+    equal part of it, at a place that follows from the hash as well.
     """
     learnable = ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
     usable = docs.where(learnable).select(
         F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    counts = (
-        usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
-        .orderBy(F.desc("_n"), "_lang").limit(MAX_LANGUAGES)
-    )
+    sizes = written(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n")), "languages")
+    each = max(1, min(SAMPLE_PER_LANGUAGE, MAX_SAMPLE // max(sizes.count(), 1)))
     draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
-    begin = F.pmod(F.xxhash64("key", F.lit("excerpt")), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1)
-    rows = (
-        usable.join(F.broadcast(counts), F.col("lang") == F.col("_lang"))
-        .where(draw * F.col("_n") < SAMPLE_PER_LANGUAGE)
-        .select(
-            F.xxhash64("key").alias("_order"),
-            F.col("text").substr(begin.cast("int") + 1, F.lit(EXCERPT)).alias("text"),
-            F.col("_lang").alias("lang"),
-        )
-        .orderBy("_order", "text")
-        .limit(MAX_SAMPLE)
-        .collect()
-    )
-    return [r["text"] for r in rows], [r["lang"] for r in rows]
+    # Far more rows than are taken pass the draw, so that the smallest hashes of a language are sorted out of few.
+    drawn = usable.join(sizes, F.col("lang") == F.col("_lang")).where(draw * F.col("_n") < 4 * each + 64)
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("key", F.lit("sample")), "key", F.xxhash64("text"))
+    taken = drawn.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= each)
+    part = F.length("text") / EXCERPTS
+    shift = F.pmod(F.xxhash64("key", F.lit("excerpt")), F.lit(1 << 20)) / float(1 << 20)
+
+    def excerpt(i: Column) -> Column:
+        begin = F.floor(part * i + shift * F.greatest(part - EXCERPT, F.lit(0)))
+        return F.col("text").substr(begin.cast("int") + 1, F.lit(EXCERPT))
+
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(EXCERPTS - 1)), excerpt))
+    rows = taken.select(F.xxhash64("key").alias("order"), pieces.alias("pieces"), "lang").collect()
+    found = [(p, r["lang"]) for r in sorted(rows) for p in r["pieces"] if p]
+    return [p for p, _ in found], [lang for _, lang in found]
 
 
 def identify(

@@ -295,13 +295,22 @@ def _block_links(crowded: DataFrame, labels: DataFrame, compared: DataFrame) ->
     return written(links.distinct(), "minhash-links")
 
 
+def _repeated_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the sets of one id."""
+    sets = signed.where("n_shingles > 0").select(F.col("doc_id").alias("own"), "digest")
+    several = sets.groupBy("own").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("own")
+    placed = sets.join(several, "own", "left_semi").distinct().join(classes.select("digest", "id"), "digest")
+    least = placed.groupBy("own").agg(F.min("id").alias("a"))
+    return written(placed.join(least, "own").where("a <> id").select("a", F.col("id").alias("b")).distinct(), "minhash-repeated")
+
+
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of `docs` with an id.
 
     Words are runs of anything but ASCII white space, A-Z in lower case; fewer than five words are
     one shingle. Null texts and texts without words have no shingles and are linked with nothing.
     `component_id` is the smallest id reachable over links; `kept` marks that row. Rows that
-    repeat an id share its component when their sets agree. An empty table gives an empty result.
+    repeat an id are one document with several sets: what is linked to one of them is linked to it. An empty table gives an empty result.
     """
     texts = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
@@ -316,8 +325,9 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "minhash-classes",
     )
     own = signed.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "digest", "signature")
+    # An id that is repeated with other texts has a row for each of its sets.
     signatures = written(
-        own.join(classes.select("id", "digest"), ["id", "digest"], "left_semi").select("id", "signature").dropDuplicates(["id"]),
+        own.join(classes.select("id", "digest"), ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]).select("id", "signature"),
         "minhash-signatures",
     )
     bands = written(signatures.transform(in_arrow, _band_rows, "key long, id long"), "minhash-bands")
@@ -352,9 +362,10 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     ids = written(crowded.select("id").distinct(), "minhash-ids")
     wanted = maybe_in(texts, ids, ["id"], "__maybe").where("__maybe").drop("__maybe")
-    wanted = wanted.join(ids.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    wanted = wanted.join(ids.hint("merge"), "id", "left_semi").withColumn("_name", F.md5("text"))
+    wanted = wanted.dropDuplicates(["id", "_name"]).drop("_name")
     sets = written(wanted.transform(in_arrow, _sets, "id long, shingles binary"), "minhash-sets")
-    links = _linked(ranked.where(F.col("place") <= FIRST), sets)
+    links = _linked(ranked.where(F.col("place") <= FIRST), sets).unionByName(_repeated_ids(signed, classes))
 
     def joined_by(found: DataFrame, name: str) -> DataFrame:
         labels = components(found).select(F.col("node").alias("id"), F.col("component").alias("label"))

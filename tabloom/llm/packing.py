@@ -37,7 +37,7 @@ WORD_STEP = 64  # distance of the cuts offered in long stretches without a sente
 POWERS = 3  # the largest powers of two below LENGTH are tried as whole sequences
 RUN = 1 << 18
 MAX_KNOWN_WORDS = 300_000
-PIECE_BYTES = 1 << 21  # texts are encoded in slices of about this size
+PIECE_BYTES = 1 << 19  # texts are encoded in slices of about this size
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -64,12 +64,12 @@ class WordEncoder:
 
     The vocabulary splits at white space and between a letter and other printable ASCII before
     anything else, so the ids of a text are those of its pieces in a row, and each
-    distinct piece is encoded once. Special strings in a text are ordinary text.
+    distinct piece is encoded once. A text that holds a special string of the vocabulary is encoded as a whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.sentence_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for mark in (".", "!", "?", "!!", "...", "\u3002"):
@@ -112,6 +112,17 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
+        whole = pa.array(np.zeros(len(texts), bool))
+        for mark in self.special:
+            whole = pc.or_(whole, pc.fill_null(pc.match_substring(texts, mark), False))
+        if not pc.any(whole).as_py():
+            yield from self._encode_pieces(texts)
+            return
+        rest = self._encode_pieces(pc.if_else(whole, "", texts))
+        for text, alone, ids in zip(texts, whole.to_pylist(), rest, strict=True):
+            yield np.array(self.tokenizer.encode(text.as_py(), add_special_tokens=False).ids, np.uint32) if alone else ids
+
+    def _encode_pieces(self, texts: pa.Array) -> Iterator[np.ndarray]:
         flat = pc.fill_null(texts, "").cast(pa.binary())
         bounds = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1].astype(np.int64)
         data = np.frombuffer(flat.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]

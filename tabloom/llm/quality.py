@@ -20,14 +20,15 @@ from tabloom.llm.labels import held_out, labelled_sample
 BUCKET_BITS = 17
 VECTOR = 10
 NGRAMS = (3, 4, 5)
-# Bounds of the training sample: rows, and characters of one excerpt of each.
-MAX_LABELLED, EXCERPT = 8000, 600
+# Bound of the training sample in rows; of each, its whole text is learnt from.
+MAX_LABELLED = 4000
 EPOCHS, BATCH, RATE = 8, 32, 0.3
 # A document changes the average of its own vectors by about RATE * GAIN / (its number of
 # buckets); without the gain texts of thousands of n-grams would learn nothing.
 GAIN = 100.0
 THRESHOLD = 0.3
 PIECE_BYTES = 1 << 20
+PIECE_CHARS = 1 << 19  # a longer text is cut at blanks, and its pieces are added up
 
 SAME_WORD = 0
 _BLANK = 32
@@ -90,6 +91,48 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(owners)
 
 
+def pieces(text: str) -> Iterator[str]:
+    """Parts of a text of about PIECE_CHARS, cut at blanks: no word and no n-gram is cut."""
+    low = 0
+    while low < len(text):
+        high = low + PIECE_CHARS
+        while high < len(text) and ord(text[high]) > _BLANK:
+            high += 1
+        yield text[low:high]
+        low = high
+
+
+def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of one text, and how often each occurs."""
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
+    last = None
+    for piece in pieces(text):
+        total += np.bincount(subwords([piece])[0], minlength=len(total))
+        words = _edge_words(piece)
+        if words:
+            total[SAME_WORD] += last == words[0]
+            last = words[1]
+    held = np.flatnonzero(total)
+    return held.astype(np.int32), total[held]
+
+
+def _edge_words(piece: str) -> tuple[str, str] | None:
+    """The first and the last word of a piece."""
+    low, high = 0, len(piece)
+    while low < high and ord(piece[low]) <= _BLANK:
+        low += 1
+    while high > low and ord(piece[high - 1]) <= _BLANK:
+        high -= 1
+    if low == high:
+        return None
+    end, begin = low, high
+    while end < high and ord(piece[end]) > _BLANK:
+        end += 1
+    while begin > low and ord(piece[begin - 1]) > _BLANK:
+        begin -= 1
+    return piece[low:end], piece[begin:high]
+
+
 @dataclass
 class Model:
     vectors: np.ndarray  # (buckets, VECTOR)
@@ -102,20 +145,24 @@ class Model:
         The layer is linear, so it is applied to each bucket once and the results are averaged.
         """
         margin = (self.vectors @ (self.layer[:, 1] - self.layer[:, 0])).astype(np.float64)
-        buckets, owner = subwords(texts)
+        buckets, owner = subwords([t if len(t) <= PIECE_CHARS else "" for t in texts])
         count = np.bincount(owner, minlength=len(texts))
         total = np.bincount(owner, margin[buckets], len(texts)) if len(buckets) else np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            if len(text) > PIECE_CHARS:
+                held, times = counts(text)
+                count[i], total[i] = times.sum(), margin[held] @ times
         return 1 / (1 + np.exp(-(total / np.maximum(count, 1) + self.bias[1] - self.bias[0])))
 
 
 def train(
-    buckets: list[np.ndarray], labels: np.ndarray, *, epochs: int = EPOCHS, seed: int = 3
+    documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, epochs: int = EPOCHS, seed: int = 3
 ) -> Model:
-    """Fit vectors and layer to documents given as their buckets; repeats exactly for the same rows."""
+    """Fit vectors and layer to documents given as their buckets and counts; repeats exactly for the same rows."""
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / VECTOR, 1 / VECTOR, (1 << BUCKET_BITS, VECTOR)).astype(np.float32)
     model = Model(vectors, np.zeros((VECTOR, 2), np.float32), np.zeros(2, np.float32))
-    usable = [i for i, b in enumerate(buckets) if len(b)]
+    usable = [i for i, (b, _) in enumerate(documents) if len(b)]
     if not usable:
         return model
     total = epochs * -(-len(usable) // BATCH)
@@ -124,10 +171,11 @@ def train(
         order = draw.permutation(usable)
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
-            flat = np.concatenate([buckets[i] for i in pick])
-            sizes = np.array([len(buckets[i]) for i in pick])
-            starts = np.cumsum(sizes) - sizes
-            means = np.add.reduceat(model.vectors[flat], starts, axis=0) / sizes[:, None]
+            flat, times = (np.concatenate([documents[i][k] for i in pick]) for k in (0, 1))
+            held = np.array([len(documents[i][0]) for i in pick])
+            starts = np.cumsum(held) - held
+            sizes = np.add.reduceat(times, starts)
+            means = np.add.reduceat(model.vectors[flat] * times[:, None].astype(np.float32), starts, axis=0) / sizes[:, None]
             scores = means @ model.layer + model.bias
             scores = np.exp(scores - scores.max(axis=1, keepdims=True))
             error = scores / scores.sum(axis=1, keepdims=True)
@@ -139,17 +187,19 @@ def train(
             # each document's step is shared by its buckets
             change = (rate * GAIN * to_means / sizes[:, None]).astype(np.float32)
             where, place = np.unique(flat, return_inverse=True)
-            rows = np.repeat(np.arange(len(pick)), sizes)
+            rows = np.repeat(np.arange(len(pick)), held)
             for k in range(VECTOR):
-                model.vectors[where, k] -= np.bincount(place, change[rows, k], len(where)).astype(np.float32)
+                model.vectors[where, k] -= np.bincount(place, change[rows, k] * times, len(where)).astype(np.float32)
             step += 1
     return model
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        held = [subwords([t])[0].tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary()), batch.column(2)], ["id", "x", "label"])
+        for part in slices(batch, 1, PIECE_BYTES):
+            held = [counts(t) for t in part.column(1).to_pylist()]
+            columns = [pa.array([x[k].astype(np.int32).tobytes() for x in held], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns, part.column(2)], ["id", "x", "n", "label"])
 
 
 def _scorer(model: Model):
@@ -167,19 +217,15 @@ def score_quality(
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per row of `docs`.
 
-    Learns from at most MAX_LABELLED labelled rows whose crc32 of the id is not 0 modulo 5, one excerpt of each at a place
-    drawn by hash; scores whole texts. Null and empty texts get the score of the bias alone, one half without any
+    Learns from the whole texts of at most MAX_LABELLED labelled rows whose crc32 of the id is not 0 modulo 5, which reach
+    the driver as counts of at most 2 ** BUCKET_BITS buckets each; scores whole texts. Null and empty texts get the score of the bias alone, one half without any
     usable label. Rows without an id are scored and held out; repeated rows are scored each.
     """
     sample = labelled_sample(docs, labels, label_col, MAX_LABELLED, id_col=id_col, text_col=text_col)
-    begin = F.pmod(
-        F.xxhash64(F.col("id").cast("string"), F.lit("excerpt")), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1
-    )
-    excerpts = sample.select(
-        F.col("id").cast("string").alias("id"), F.col("text").substr(begin.cast("int") + 1, F.lit(EXCERPT)).alias("text"), "label"
-    )
-    rows = sorted(excerpts.transform(in_arrow, _bucket_rows, "id string, x binary, label int").collect())
-    model = train([np.frombuffer(r["x"], np.int32) for r in rows], np.array([int(r["label"] > 0) for r in rows], int))
+    rows = sample.select(F.col("id").cast("string").alias("id"), "text", "label")
+    rows = sorted(rows.transform(in_arrow, _bucket_rows, "id string, x binary, n binary, label int").collect())
+    documents = [tuple(np.frombuffer(r[c], np.int32) for c in ("x", "n")) for r in rows]
+    model = train(documents, np.array([int(r["label"] > 0) for r in rows], int))
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(
         in_arrow,
         _scorer(model), "doc_id long, score double"

@@ -101,7 +101,7 @@ FROM documents LEFT JOIN a USING (doc_id)
 
 @query
 def op3_exact_dedup(spark, folder):
-    return find_copies(read_table(spark, folder, "documents"), digest_all=True)
+    return find_copies(read_table(spark, folder, "documents"), digest_all=True).drop("text_length")
 
 
 ORACLE["op3_exact_dedup"] = """

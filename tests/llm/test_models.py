@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tabloom.llm import language_id, quality, toxicity
+from tabloom.llm.labels import labelled_sample
 from tabloom.llm.queries import QUERIES
 
 ODD = [(1, None), (2, ""), (3, "12 34 !?"), (4, "x" * 100_000), (5, "É"), (None, "some words here"), (2, "")]
@@ -158,3 +159,102 @@ def test_subwords_equal_a_plain_loop():
         # the same words in another text have the same buckets
         alone, _ = quality.subwords([text])
         assert sorted(alone) == sorted(buckets[owner == i])
+
+
+def test_pieces_of_a_long_text_count_like_the_whole(monkeypatch):
+    draw = random.Random(4)
+    text = "".join(draw.choice("ab cd é\n\t") for _ in range(3000)) + " same same" * 30
+    whole, _ = quality.subwords([text])
+    for size in (7, 50, 1 << 19):
+        monkeypatch.setattr(quality, "PIECE_CHARS", size)
+        held, times = quality.counts(text)
+        assert np.repeat(held, times).tolist() == sorted(whole.tolist())
+    monkeypatch.setattr(quality, "PIECE_CHARS", 100)
+    model = quality.train([quality.counts(t) for t in ("good text", "bad stuff")], np.array([1, 0]))
+    cut = model.probabilities([text, "x", ""])
+    monkeypatch.setattr(quality, "PIECE_CHARS", 1 << 19)
+    assert cut == pytest.approx(model.probabilities([text, "x", ""]))
+
+
+def test_one_step_of_gradient_descent_equals_a_plain_loop():
+    """Averages, softmax and one update of every vector, of the layer and of the bias."""
+    texts, labels = ["ab ab cd", "ef gh", "ab ef"], np.array([1, 0, 1])
+    documents = [quality.counts(t) for t in texts]
+    untouched = quality.train([], labels)
+    model = quality.train(documents, labels, epochs=1)
+    vectors = untouched.vectors.astype(float)
+    change = np.zeros_like(vectors)
+    layer, bias = np.zeros((quality.VECTOR, 2)), np.zeros(2)
+    for (held, times), label in zip(documents, labels):
+        flat = np.repeat(held, times)
+        mean = vectors[flat].mean(axis=0)
+        error = np.full(2, 0.5)  # the softmax of two zeros
+        error[label] -= 1
+        layer -= quality.RATE * np.outer(mean, error) / 3
+        bias -= quality.RATE * error / 3
+        for b in flat:
+            change[b] += quality.RATE * quality.GAIN * (error @ np.zeros((2, quality.VECTOR))) / len(flat)
+    assert model.layer == pytest.approx(layer, abs=1e-6) and model.bias == pytest.approx(bias, abs=1e-6)
+    assert model.vectors == pytest.approx(vectors - change, abs=1e-6)
+    margin = [np.mean([model.vectors[b] @ model.layer for b in quality.subwords([t])[0]], axis=0) + model.bias for t in texts]
+    assert model.probabilities(texts) == pytest.approx([np.exp(m[1]) / np.exp(m).sum() for m in margin], abs=1e-6)
+
+
+def test_quality_cue_outside_any_short_excerpt_is_learnt(docs, spark):
+    """The cue stands behind the first thousand characters."""
+    draw = random.Random(8)
+    filler = lambda: " ".join(draw.choice(["lorem", "ipsum", "dolor", "amet"]) for _ in range(200))
+    rows = [(i, f"{filler()} {'excellent work ' * 12 if i % 2 else 'zzqj kkw ' * 12}") for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    held = [r for r in quality.score_quality(docs(*rows), labels).collect() if r["held_out"]]
+    assert rank_auc([r["score"] for r in held], [r["doc_id"] % 2 for r in held]) > 0.95
+
+
+def test_labelled_sample_is_bounded_in_rows(docs, spark):
+    table = docs(*[(1, f"text {i}") for i in range(50)], *[(i, "other") for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(1, 0)], "doc_id long, quality int")
+    for limit in (2, 100):
+        rows = labelled_sample(table, labels, "quality", limit, id_col="doc_id", text_col="text").collect()
+        assert len(rows) == len({r["id"] for r in rows}) <= limit
+
+
+def test_every_language_is_sampled(spark):
+    """101 languages of one letter each."""
+    letters = [chr(0x4E00 + 50 * i) for i in range(101)]
+    rows = [(f"{c * 3} {c * 4} " * 20, f"l{k:03d}", 1000 * k + j) for k, c in enumerate(letters) for j in range(6)]
+    table = spark.createDataFrame(rows, "text string, lang string, doc_id long")
+    texts, languages = language_id.training_sample(table, id_col="doc_id", text_col="text", lang_col="lang")
+    assert len(set(languages)) == 101
+    assert all(languages.count(name) <= 6 * language_id.EXCERPTS for name in set(languages))
+
+
+def plain_step(net, d, byte, state, soft):
+    h = language_id.STATES
+    gates, own = net.inputs[d][:, byte], net.recurrent[d] @ state
+    update, reset = (0.5 * soft(gates[k : k + h] + own[k : k + h]) + 0.5 for k in (0, h))
+    candidate = soft(gates[2 * h :] + reset * own[2 * h :])
+    return (state - candidate) * update + candidate
+
+
+def test_network_equals_a_plain_loop():
+    """The gates of both directions byte by byte, and the pooled probabilities."""
+    texts = ["hola que tal", "the cat sat", "x"]
+    net = language_id.train(["abc " * 9, "xyz " * 9], ["a", "b"], epochs=1)
+    soft = lambda x: x / (1 + abs(x))
+    for text in texts:
+        data = text.encode()
+        padded = data + bytes(language_id.WINDOW - len(data))
+        states = []
+        for d in (0, 1):
+            order = range(len(padded)) if d == 0 else range(len(padded) - 1, -1, -1)
+            state, kept = np.zeros(language_id.STATES), {}
+            for i in order:
+                state = plain_step(net, d, padded[i], state, soft)
+                kept[i] = state
+            states.append(kept)
+        found = []
+        for i in range(len(data)):
+            scores = sum(net.output[d] @ states[d][i] for d in (0, 1)) + net.bias[:, 0]
+            found.append(np.exp(scores) / np.exp(scores).sum())
+        assert language_id.label_positions(net, text) == pytest.approx(np.array(found), abs=1e-4)
+        assert language_id.pooled(net, [data])[0] == pytest.approx(np.mean(found, axis=0), abs=1e-4)

@@ -16,9 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    loaded = Tokenizer.from_file(PATH)
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(PATH)
 
 
 def padding(length, longest):
@@ -51,7 +49,7 @@ def test_cuts_are_the_cheapest(seed, monkeypatch):
 
 TEXTS = [
     "it's don''t x.'s a!'re 'll", "İstanbul ΑΣ. ΣΑΣ ﬁ…”. é.", "foo'S bar'll.x \t\r\n a\x1cb\x85c\xa0d é.", "e\u0301t\u0301 .\u0301x a.\u0301",
-    "<|endoftext|> hi<|startoftext|>", "１２ 3a4.5 [x]_y_ ~~a~~", "", " ", "中文。句子！", "CIÓN. 🙂🙂 a🙂", "x" * 500, "a\u200bb \ufeffc",
+    "<|endoftext|> hi<|startoftext|>", "a.<|ENDOFTEXT|>b", "x <|endoftext", "<|endoftext|>", "１２ 3a4.5 [x]_y_ ~~a~~", "", " ", "中文。句子！", "CIÓN. 🙂🙂 a🙂", "x" * 500, "a\u200bb \ufeffc",
 ]
 
 
