@@ -21,7 +21,7 @@ from tabloom.operators.impute import fill_mode
 from tabloom.operators.models import boosted, forest
 from tabloom.operators.profile import class_balance, value_counts
 from tabloom.plans import claims, signal
-from tabloom.session import build_session, fresh_path
+from tabloom.session import build_session, clear_scratch, fresh_path, scratch_paths
 from tabloom.sources.csv import scan_csv_header, scan_csv_positional
 
 ESTIMATORS = {"forest": (forest, FOREST_GRID), "boosted": (boosted, BOOSTED_GRID)}
@@ -104,12 +104,16 @@ def main(argv: list[str] | None = None) -> None:
     )
     args = parser.parse_args(argv)
     spark = build_session(f"tabloom {args.job}")
-    for title, table in JOBS[args.job](spark, args).items():
-        path = f"{args.output.rstrip('/')}/{title.replace(' ', '_')}"
-        table.write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
-        print(f"{title}: {written.count()} rows in {path}; the first {PREVIEW_ROWS}:")
-        written.show(PREVIEW_ROWS, truncate=False)
+    before = scratch_paths(spark)
+    try:
+        for title, table in JOBS[args.job](spark, args).items():
+            path = f"{args.output.rstrip('/')}/{title.replace(' ', '_')}"
+            table.write.mode("overwrite").parquet(path)
+            written = spark.read.parquet(path)
+            print(f"{title}: {written.count()} rows in {path}; the first {PREVIEW_ROWS}:")
+            written.show(PREVIEW_ROWS, truncate=False)
+    finally:
+        clear_scratch(spark, before)
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.config import CLAIMS, SENTINEL
 
@@ -31,6 +31,24 @@ def drop_any_missing(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return df.dropna("any", subset=columns)
 
 
+def missing_cells(df: DataFrame, key: str, categorical: Sequence[str], continuous: Sequence[str]) -> DataFrame:
+    """(key, column, kind) of every unusable cell of all columns, in one pass over text columns.
+
+    `kind` is `null`, `sentinel`, and in continuous columns `nan` or, for text that is no number, `text`.
+    """
+
+    def kind(column: str, number: bool) -> Column:
+        cell = F.col(f"`{column}`")
+        found = F.when(cell.isNull(), "null").when(cell == SENTINEL, "sentinel")
+        if number:
+            value = cell.try_cast("double")
+            found = found.when(value.isNull(), "text").when(F.isnan(value), "nan")
+        return F.struct(F.lit(column).alias("column"), found.alias("kind"))
+
+    cells = [kind(c, False) for c in categorical] + [kind(c, True) for c in continuous]
+    return df.select(key, F.inline(F.filter(F.array(*cells), lambda c: c["kind"].isNotNull())))
+
+
 def train_positive(df: DataFrame, label: str = CLAIMS.label) -> DataFrame:
     return filter_equals(df, label, 1.0)
 

@@ -18,7 +18,8 @@ from tabloom.operators.sampling import with_fold
 from tabloom.session import shared_folder
 
 
-TUNING_PARTITIONS = 4
+# Rows of the subsample that one partition holds: fits run side by side, so a small table needs no more tasks.
+PARTITION_ROWS = 50_000
 
 
 def param_grid(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]:
@@ -107,13 +108,13 @@ def cross_validate(
     folds: int = FOLDS,
     parallelism: int = FIT_PARALLELISM,
     evaluator: BinaryClassificationEvaluator | None = None,
-    partitions: int = TUNING_PARTITIONS,
+    partitions: int | None = None,
 ) -> Tuned:
     """Score every grid point on every fold, refit the best on all rows.
 
     The folds are a filter on the row hash. All fits of a run read one persisted
-    table, dealt by the hash of the row key into `partitions` sorted partitions: raise it with
-    the size of the subsample. A forest's bootstrap follows the layout, so the same rows and
+    table, dealt by the hash of the row key into `partitions` sorted partitions, by default one for each
+    PARTITION_ROWS rows. A forest's bootstrap follows the layout, so the same rows and
     `partitions` give the same search whatever the layout they came in. Fits run side by side, each
     with a copy of its two thirds of the rows in the library's own form,
     and boosted grid points that differ in the rounds alone share one.
@@ -121,6 +122,8 @@ def cross_validate(
     shared_folder(train.sparkSession)
     evaluator = evaluator or exact_auc(estimator.getLabelCol())
     maps = param_grid(estimator, grid)
+    if partitions is None:
+        partitions = 1 + train.select(key).count() // PARTITION_ROWS
     packed = with_fold(train, key, folds).repartition(partitions, key).sortWithinPartitions(key)
     packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:

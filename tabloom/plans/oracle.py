@@ -114,6 +114,15 @@ ORACLE["filter_label_equals"] = f"{SIGNAL} SELECT row_id, label, {_pair} FROM si
 ORACLE["filter_is_null"] = f"{CLAIMS_CTE} SELECT Row_ID, Cat3 FROM claims WHERE Cat1 IS NULL"
 ORACLE["filter_sentinel"] = f"{CLAIMS_CTE} SELECT Row_ID, Cat1 FROM claims WHERE Cat1 = '?'"
 ORACLE["filter_is_nan"] = f"{CLAIMS_CTE} SELECT Row_ID FROM claims WHERE isnan(TRY_CAST(Var3 AS DOUBLE))"
+_kinds = {c: f"CASE WHEN {c} IS NULL THEN 'null' WHEN {c} = '?' THEN 'sentinel' END" for c in CLAIMS.categorical}
+_kinds |= {
+    c: f"""CASE WHEN {c} IS NULL THEN 'null' WHEN {c} = '?' THEN 'sentinel' WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN 'text'
+  WHEN isnan(TRY_CAST({c} AS DOUBLE)) THEN 'nan' END"""
+    for c in CLAIMS.continuous
+}
+ORACLE["missing_cells"] = f"{CLAIMS_CTE} " + " UNION ALL ".join(
+    f"""SELECT Row_ID, '{c}' AS "column", {sql} AS kind FROM claims WHERE {sql} IS NOT NULL""" for c, sql in _kinds.items()
+)
 _complete_signal = " AND ".join(
     f"({_q(c)} IS NOT NULL AND NOT isnan({_q(c)}))" for c in SIGNAL_COLUMNS
 )

@@ -187,6 +187,12 @@ def filter_is_nan(spark, folder):
     return filters.filter_is_nan(typed, "Var3").select(CLAIMS.row_id)
 
 
+@query
+def missing_cells(spark, folder):
+    """Nulls, sentinels, NaN and text that is no number, of all 26 columns at once."""
+    return filters.missing_cells(claims(spark, folder), CLAIMS.row_id, CLAIMS.categorical, CLAIMS.continuous)
+
+
 @query
 def drop_any_missing(spark, folder):
     return filters.drop_any_missing(columns.cast_double(signal_text(spark, folder), SIGNAL_COLUMNS))
@@ -780,7 +786,7 @@ def _split_check(spark, train: DataFrame, estimator, value: Column) -> DataFrame
     nodes = trees.node_table(spark, models.fit(estimator, train))
     checked = trees.check_splits(train, "features", value, nodes, estimator.getMaxDepth())
     rows = train.agg(F.count("*").alias("rows"), F.sum("label").alias("positives")).first()
-    return checked.select(F.lit(rows["rows"]).alias("rows"), F.lit(rows["positives"]).alias("positives"), "*")
+    return checked.select(F.lit(rows["rows"]).cast("bigint").alias("rows"), F.lit(rows["positives"]).alias("positives"), "*")
 
 
 @query

@@ -45,6 +45,31 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_made: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; `clear_scratch` knows it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> int:
+    """How many paths `fresh_path` has given this application."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete what this application wrote to paths of `fresh_path`, from number `since` on; returns how many paths.
+
+    For the end of a job, when its results are written elsewhere: DataFrames that read such tables can't be read any more.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    made = _made.get(spark.sparkContext.applicationId, [])
+    paths = made[since:]
+    del made[since:]
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom import jobs
+from tabloom import jobs, session
 from tabloom.config import CLAIMS, CLAIMS_COLUMNS, SIGNAL_COLUMNS, SIGNAL_FEATURES, ClaimsRoles
 from tabloom.operators import linear, models, profile, sampling, trees, tuning
 from tabloom.operators.features import assemble
@@ -373,3 +373,14 @@ def test_elastic_net_meets_the_optimality_conditions(balanced):
     assert active.any()
     assert gradient[active] == pytest.approx(penalty * share * np.sign(beta[active]), abs=2e-4)
     assert (np.abs(gradient[~active]) <= penalty * share + 2e-4).all()
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    """Only what was written since."""
+    import os
+
+    before = session.scratch_paths(spark)
+    path = session.fresh_path(spark, "some-table")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark, before) == 1 and session.clear_scratch(spark, before) == 0
+    assert not os.path.exists(path.removeprefix("file:")) and session.scratch_paths(spark) == before
