@@ -97,7 +97,7 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "copies-found",
     )
     # Only rows that share id and length with one of a group of copies are hashed and shuffled.
-    sized = docs.withColumn(length, F.octet_length(_text(text_col)))
+    sized = docs.withColumn(length, F.octet_length(_text(text_col)).cast("long"))
     marked = maybe_in(sized, copies, [id_col, length], flag)
     doubtful = marked.where(F.col(flag)).withColumn(digest, F.sha2(lower_ascii(_text(text_col)), 256))
     doubtful = doubtful.join(copies.drop(length).hint("merge"), [id_col, digest], "left")

@@ -334,9 +334,11 @@ def score_toxicity(
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the rows whose score is one half or more, judged where they stand: no shuffle.
 
-    Rows without an id are judged like all others.
+    Rows without an id are judged like all others. Without labels of both kinds nothing tells texts apart, and all rows stay.
     """
     model = fit(docs, labels, id_col=id_col, text_col=text_col, label_col="toxic")
+    if not len(model.forest.feature):
+        return docs
     columns = docs.columns
     place = columns.index(text_col)
 
