@@ -1,188 +1,153 @@
 """Repeated passages of lines, cut at content-defined boundaries.
 
-A rolling hash over the hashes of the last two lines decides where a chunk ends, so an inserted or
-deleted line moves only the boundaries next to it. A chunk of at least MIN_LINES lines that
-occurs more than once anywhere stays where it comes first and is removed elsewhere, after its
-bytes were compared with those of the one that stays.
-
-Such chunks miss most short passages inside a document. `remove_passages` misses none: its units are
-all pairs of adjacent lines, which overlap, so every repeated run of two lines or more is covered to its full extent.
+A rolling hash over the hashes of two adjacent lines is taken at every line. A boundary lies where the hash is seen for
+the first time anywhere, or where its first occurrence does not go on from that of the line before. Between
+boundaries lie chunks of two lines or more that stand, whole, at an earlier place too. As only the lines themselves
+decide, an inserted or deleted line moves the boundaries next to it and no others, and no repeated run of two lines or more is
+missed or cut short. A chunk is removed after its lines were compared with those of the first occurrence.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import bind, maybe_in, salted_join, written
-
-MIN_LINES = 2
-# A chunk ends after a line whose rolling hash begins with a hex digit below this one: 5 of
-# 16, or 3.2 lines in the mean.
-CUT_BELOW = "5"
-
-
-def _chunks(text: Column) -> Column:
-    """Array of (lines, body) in the order of the text; null for a null text."""
+from tabloom.llm.common import bind, free_name, maybe_in, salted_join, written
 
-    def cuts(hashes: Column) -> Column:
-        def ends_chunk(i: Column) -> Column:
-            rolling = F.md5(F.concat(F.get(hashes, i - 1), F.get(hashes, i)))
-            return (i == F.size(hashes) - 1) | (F.substring(rolling, 1, 1) < CUT_BELOW)
 
-        return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), ends_chunk)
+def _rolling(text: Column) -> Column:
+    """Array of the hashes of each line but the last with the one after it; null for a null text."""
 
-    def cut(lines: Column, ends: Column) -> Column:
-        def chunk(j: Column) -> Column:
-            first = F.coalesce(F.get(ends, j - 1), F.lit(-1)) + 1
-            size = F.get(ends, j) - first + 1
-            return F.struct(size.alias("lines"), F.array_join(F.slice(lines, first + 1, size), "\n").alias("body"))
+    def rolled(hashes: Column) -> Column:
+        count = F.size(hashes) - 1
+        return F.zip_with(
+            F.slice(hashes, 1, count), F.slice(hashes, 2, count), lambda line, following: F.md5(F.concat(line, following))
+        )
 
-        return F.transform(F.sequence(F.lit(0), F.size(ends) - 1), chunk)
-
-    return F.when(
-        text.isNotNull(),
-        bind(
-            F.split(text, "\n"),
-            lambda lines: bind(
-                F.transform(lines, lambda line: F.md5(line)),
-                lambda hashes: bind(cuts(hashes), lambda ends: cut(lines, ends)),
-            ),
-        ),
-    )
+    return F.when(text.isNotNull(), bind(F.transform(F.split(text, "\n"), lambda line: F.md5(line)), rolled))
 
 
-def _pairs(text: Column) -> Column:
-    """Array of (lines, body): each line but the last with the one after it; null for a null text."""
+def _runs(numbers: Column) -> Column:
+    """Array of (no, size) of the runs of consecutive numbers in an array of distinct ones; size is one more, the lines."""
 
-    def pair(line: Column, following: Column) -> Column:
-        return F.struct(F.lit(2).alias("lines"), F.concat(line, F.lit("\n"), following).alias("body"))
+    def cut(ordered: Column) -> Column:
+        def ends(later: bool) -> Column:
+            beside = (lambda i: F.get(ordered, i + 1) - 1) if later else (lambda i: F.get(ordered, i - 1) + 1)
+            return F.filter(ordered, lambda n, i: F.coalesce(beside(i) != n, F.lit(True)))
 
-    def paired(lines: Column) -> Column:
-        count = F.size(lines) - 1
-        return F.zip_with(F.slice(lines, 1, count), F.slice(lines, 2, count), pair)
+        return F.zip_with(ends(False), ends(True), lambda a, b: F.struct(a.alias("no"), (b - a + 2).alias("size")))
 
-    return F.when(text.isNotNull(), bind(F.split(text, "\n"), paired))
+    return bind(F.array_sort(numbers), cut)
 
 
-def find_repeats(
-    docs: DataFrame, units: Callable[[Column], Column] = _chunks, *, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, _row, _no): chunks, or other units, to remove, their bytes compared with the first occurrence.
+def find_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, _row, _gone): the lines to remove, by number, of each text that holds a chunk that stands before.
 
-    `_row` hashes the text, so that rows that repeat an id are told apart; `_no` counts the chunks of the row.
-    First is the smallest (id, row hash, chunk number).
+    `_row` hashes the text, so that rows that repeat an id are told apart. First is the smallest (id, row
+    hash, line number).
     """
     usable = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("_row"), F.col(text_col).alias("_text")
     )
-    chunks = (
-        usable.select("doc_id", "_row", F.posexplode(units(F.col("_text"))).alias("_no", "_chunk"))
-        .where(F.col("_chunk.lines") >= MIN_LINES)
-    )
-    place = ["doc_id", "_row", "_no"]
-    marks = written(
-        chunks.select(*place, F.unhex(F.md5("_chunk.body")).alias("_key"), F.octet_length("_chunk.body").alias("_bytes")),
-        "lines-marks",
-    )
-    # Counts and first places are combined before the shuffle: a hot chunk is one row per task.
+    text, place = ["doc_id", "_row"], ["doc_id", "_row", "_no"]
+    marks = usable.select(*text, F.posexplode(_rolling(F.col("_text"))).alias("_no", "_hash"))
+    marks = written(marks.select(*place, F.unhex("_hash").alias("_key")), "lines-marks")
+    # Counts and first places are combined before the shuffle: a hot hash is one row per task.
     groups = written(
-        marks.groupBy("_key", "_bytes").agg(F.count("*").alias("_n"), F.min(F.struct(*place)).alias("_first")).where("_n > 1"),
+        marks.groupBy("_key").agg(F.count("*").alias("_n"), F.min(F.struct(*place)).alias("_first")).where("_n > 1"),
         "lines-groups",
     )
-    suspects = written(
-        salted_join(marks, groups, ["_key", "_bytes"], "_n", F.struct(*place))
-        .where(F.struct(*place) != F.col("_first"))
-        .select(*place, "_key", "_bytes"),
-        "lines-suspects",
-    )
-    # Contents of suspects and first occurrences only; everything else is dropped at this join.
-    needed = suspects.select(*place, "_key", "_bytes", F.lit(False).alias("_stays")).unionByName(
-        groups.select("_first.*", "_key", "_bytes", F.lit(True).alias("_stays"))
-    ).distinct()
-    needed = written(needed, "lines-needed")
-    wanted = maybe_in(chunks.select(*place, F.col("_chunk.body").alias("_body")), needed, place, "__maybe").where("__maybe")
-    bodies = written(wanted.drop("__maybe").join(needed.hint("merge"), place).distinct(), "lines-bodies")
-    firsts = bodies.where("_stays").join(groups.select("_key", "_bytes", "_n"), ["_key", "_bytes"]).select(
-        "_key", "_bytes", "_n", F.col("_body").alias("_first_body")
+    later = salted_join(marks, groups, ["_key"], "_n", F.struct(*place)).where(F.struct(*place) != F.col("_first"))
+    # Hashes whose first occurrences follow one another are the same number of lines away from them: a group
+    # holds numbers of lines of one text, and rows that repeat a text meet in it.
+    shifts = later.groupBy(
+        *text, F.col("_first.doc_id").alias("_first_id"), F.col("_first._row").alias("_first_row"),
+        (F.col("_first._no") - F.col("_no")).alias("_shift"),
+    ).agg(F.collect_set("_no").alias("_nos"))
+    chunks = written(
+        shifts.withColumn("_chunk", F.explode(_runs(F.col("_nos")))).select(
+            *text, F.col("_chunk.no").alias("_no"), F.col("_chunk.size").alias("_size"), "_first_id", "_first_row",
+            (F.col("_chunk.no") + F.col("_shift")).alias("_first_no"),
+        ),
+        "lines-chunks",
     )
-    compared = salted_join(bodies.where("NOT _stays"), firsts, ["_key", "_bytes"], "_n", F.struct(*place))
-    return compared.where(F.col("_body") == F.col("_first_body")).select(*place)
-
-
-def _without_repeats(
-    docs: DataFrame,
-    units: Callable[[Column], Column],
-    rest: Callable[[Column, Column], Column],
-    id_col: str,
-    text_col: str,
-) -> DataFrame:
-    """`docs` without its repeated units; `rest` makes (body, lines) of a text and the numbers of those that go."""
-    columns = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
-    gone = find_repeats(docs, units, id_col=id_col, text_col=text_col).groupBy("doc_id", "_row").agg(
-        F.collect_set("_no").alias("_gone")
+    first = ["_first_id", "_first_row", "_first_no", "_size"]
+    firsts = written(chunks.groupBy(*first).agg(F.count("*").alias("_n")), "lines-firsts")
+    # Only chunks and their first occurrences are read again; other texts are dropped at this join. A text is cut
+    # once, whatever the number of its chunks; those add up to no more than the lines that go.
+    needed = written(
+        chunks.select(*place, "_size")
+        .unionByName(
+            firsts.select(
+                F.col("_first_id").alias("doc_id"), F.col("_first_row").alias("_row"), F.col("_first_no").alias("_no"), "_size"
+            )
+        )
+        .groupBy(*text)
+        .agg(F.collect_set(F.struct("_no", "_size")).alias("_wanted")),
+        "lines-needed",
     )
-    gone = written(gone.select(F.col("doc_id").alias(id_col), F.col("_row").alias("__row"), F.col("_gone").alias("__gone")), "lines-gone")
-    # Rows without a repeat are not shuffled.
-    rows = maybe_in(docs.withColumn("__row", F.xxhash64(text_col)), gone, [id_col, "__row"], "__maybe")
-    marked = rows.where("__maybe").join(gone.hint("merge"), [id_col, "__row"], "left").unionByName(
-        rows.where("NOT __maybe"), allowMissingColumns=True
+    wanted = maybe_in(usable, needed, text, "__maybe").where("__maybe").drop("__maybe").join(needed.hint("merge"), text)
+
+    def bodies_of(lines: Column) -> Column:
+        return F.transform(
+            "_wanted",
+            lambda w: F.struct(w["_no"].alias("_no"), w["_size"].alias("_size"), F.slice(lines, w["_no"] + 1, w["_size"]).alias("_lines")),
+        )
+
+    cut = wanted.select(*text, F.explode(bind(F.split("_text", "\n"), bodies_of)).alias("_body"))
+    bodies = written(cut.select(*text, "_body.*").distinct(), "lines-bodies")
+    stays = firsts.join(
+        bodies.select(
+            F.col("doc_id").alias("_first_id"), F.col("_row").alias("_first_row"), F.col("_no").alias("_first_no"), "_size",
+            F.col("_lines").alias("_first_lines"),
+        ),
+        first,
     )
-    # texts are cut again only where some of them goes
-    hit = marked.withColumn("__rest", rest(F.when(F.col("__gone").isNotNull(), F.col(text_col)), F.col("__gone")))
-    counted = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
-    return hit.select(
-        *(F.coalesce("__rest.body", c).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns),
-        F.when(counted, F.size(F.split(text_col, "\n"))).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce("__rest.lines", F.lit(0)).cast("long").alias("removed_lines"),
+    held = bodies.join(chunks, [*place, "_size"])
+    compared = salted_join(held, written(stays, "lines-stays"), first, "_n", F.struct(*place))
+
+    def same(i: Column) -> Column:
+        return F.coalesce(F.get("_lines", i) == F.get("_first_lines", i), F.lit(False))
+
+    # Lines of a chunk could differ only if two hashes are equal by chance; those that have an equal neighbour still go.
+    every = F.sequence(F.lit(0), F.col("_size") - 1)
+    equal = F.when(F.col("_lines") == F.col("_first_lines"), every).otherwise(
+        F.filter(every, lambda i: same(i) & (same(i - 1) | same(i + 1)))
     )
+    gone = compared.select(*text, F.transform(equal, lambda i: i + F.col("_no")).alias("_part")).where(F.size("_part") > 0)
+    return gone.groupBy(*text).agg(F.array_distinct(F.flatten(F.collect_list("_part"))).alias("_gone"))
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of `docs`, the text without repeated chunks, and n_lines, removed_lines (long).
 
-    A null text stays null with no lines; an empty text has one line. A text made of repeated
-    chunks only becomes empty. Rows without an id keep their text and count no lines. Rows that repeat an id and its text are
-    cleaned alike. An empty table gives an empty result.
-    """
-
-    def rest(text: Column, gone: Column) -> Column:
-        def kept_chunks(chunks: Column) -> Column:
-            kept = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), gone)
-            return F.struct(
-                F.array_join(F.transform(kept, lambda j: F.get(chunks, j)["body"]), "\n").alias("body"),
-                F.aggregate(gone, F.lit(0), lambda n, j: n + F.get(chunks, j)["lines"]).alias("lines"),
-            )
-
-        return bind(_chunks(text), kept_chunks)
-
-    return _without_repeats(docs, _chunks, rest, id_col, text_col)
-
-
-def remove_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As `remove_repeats`, but the text is without every run of two lines or more that began somewhere before.
-
     A line goes if it and a neighbour occur, in this order and one after the other, at an earlier place: in a
     row with a smaller (id, row hash), or further up in its own text. The first occurrence of a line has no
     earlier place, so each distinct line stays at least once.
-    """
 
-    def rest(text: Column, gone: Column) -> Column:
-        def kept_lines(lines: Column) -> Column:
-            return bind(
-                F.array_union(gone, F.transform(gone, lambda i: i + 1)),
-                lambda out: F.struct(
-                    F.array_join(
-                        F.transform(
-                            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out), lambda j: F.get(lines, j)
-                        ),
-                        "\n",
-                    ).alias("body"),
-                    F.size(out).alias("lines"),
-                ),
-            )
+    A null text stays null with no lines; an empty text has one line. A text made of repeated
+    chunks only becomes empty. Rows without an id keep their text and count no lines. Rows that repeat an id and its text are
+    cleaned alike. Columns of `docs` named n_lines or removed_lines are replaced; others keep their values, whatever their
+    names. An empty table gives an empty result.
+    """
+    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "removed_lines")]
+    row, out, maybe = (free_name(docs, name) for name in ("__row", "__gone", "__maybe"))
+    gone = find_repeats(docs, id_col=id_col, text_col=text_col)
+    gone = written(gone.select(F.col("doc_id").alias(id_col), F.col("_row").alias(row), F.col("_gone").alias(out)), "lines-gone")
+    # Rows without a repeat are not shuffled.
+    rows = maybe_in(docs.withColumn(row, F.xxhash64(text_col)), gone, [id_col, row], maybe)
+    marked = rows.where(F.col(maybe)).join(gone.hint("merge"), [id_col, row], "left").unionByName(
+        rows.where(~F.col(maybe)), allowMissingColumns=True
+    )
 
-        return F.when(gone.isNotNull(), bind(F.split(text, "\n"), kept_lines))
+    def kept(lines: Column) -> Column:
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(out))
+        return F.array_join(F.transform(numbers, lambda j: F.get(lines, j)), "\n")
 
-    return _without_repeats(docs, _pairs, rest, id_col, text_col)
+    # texts are cut again only where a line goes
+    rest = F.when(F.col(out).isNull(), F.col(text_col)).otherwise(bind(F.split(text_col, "\n"), kept))
+    counted = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+    return marked.select(
+        *(rest.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns),
+        F.when(counted, F.size(F.split(text_col, "\n"))).otherwise(0).cast("long").alias("n_lines"),
+        F.coalesce(F.size(out), F.lit(0)).cast("long").alias("removed_lines"),
+    )

@@ -13,7 +13,7 @@ from tabloom.llm.conversation_repair import damage, repair, summarize
 from tabloom.llm.decontaminate import find_leaks
 from tabloom.llm.exact_dedup import find_copies
 from tabloom.llm.language_id import identify
-from tabloom.llm.line_dedup import remove_passages, remove_repeats
+from tabloom.llm.line_dedup import remove_repeats
 from tabloom.llm.minhash import near_groups
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.periodic_runs import digest_runs, find_runs, with_loops
@@ -52,35 +52,6 @@ def op2_line_dedup(spark, folder):
 
 ORACLE["op2_line_dedup"] = """
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
-h AS (SELECT doc_id, lines, list_transform(lines, lambda x: md5(x)) AS marks FROM l),
-e AS (
-  SELECT doc_id, lines, list_filter(generate_series(1, len(lines)), lambda i:
-    i = len(lines) OR (i > 1 AND substr(md5(marks[i - 1] || marks[i]), 1, 1) < '5')) AS ends
-  FROM h),
-c AS (
-  SELECT doc_id, no, ends[no] - coalesce(ends[no - 1], 0) AS n,
-    array_to_string(lines[coalesce(ends[no - 1], 0) + 1 : ends[no]], chr(10)) AS body
-  FROM (SELECT doc_id, lines, ends, unnest(generate_series(1, len(ends))) AS no FROM e)),
-r AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY n > 1, body ORDER BY doc_id, no) > 1 AS gone FROM c),
-a AS (
-  SELECT doc_id, sum(n) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS removed_lines,
-    sha256(coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS text_sha256
-  FROM r GROUP BY doc_id)
-SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-  CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines, text_sha256
-FROM documents LEFT JOIN a USING (doc_id)
-"""
-
-
-@query
-def op2_passage_dedup(spark, folder):
-    """All repeated runs of two lines or more; op2_line_dedup finds those its chunk boundaries happen to fit."""
-    cleaned = remove_passages(read_table(spark, folder, "documents"))
-    return cleaned.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
-
-
-ORACLE["op2_passage_dedup"] = """
-WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 p AS (
   SELECT doc_id, no, lines[no] || chr(10) || lines[no + 1] AS body
   FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines) - 1)) AS no FROM l)),
@@ -99,6 +70,15 @@ FROM documents LEFT JOIN a USING (doc_id)
 """
 
 
+@query
+def op2_passage_dedup(spark, folder):
+    """The name of the last round's query for all repeated runs of two lines or more, which op2_line_dedup finds now."""
+    return op2_line_dedup(spark, folder)
+
+
+ORACLE["op2_passage_dedup"] = ORACLE["op2_line_dedup"]
+
+
 @query
 def op3_exact_dedup(spark, folder):
     return find_copies(read_table(spark, folder, "documents"), digest_all=True).drop("text_length")
