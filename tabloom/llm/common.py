@@ -52,18 +52,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def salted_join(
-    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: Column, how: str = "inner"
+    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: Column, how: str = "inner", *, unique: bool = True
 ) -> DataFrame:
-    """Join `rows` to `groups` (one row per key) without a hot key.
+    """Join `rows` to `groups` without a hot key; `groups` has one row per key, or any number if not `unique`.
 
     `size` is a column of `groups`: how many of `rows` share the key. Keys above 1/WAYS of
     all rows are dealt over several salts by the hash of `spread`, and their row of
     `groups` is repeated once per salt. Both inputs appear once in the plan; `groups` should be a
     written table, as its sizes are summed first.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    sizes = groups if unique else groups.select(*keys, size).distinct()
+    total = sizes.agg(F.sum(size)).first()[0] or 0
     salts = F.greatest(F.ceil(F.col(size) * WAYS / F.lit(max(total, 1))), F.lit(1)).cast("int")
-    hot = groups.select(*keys, salts.alias("_salts")).where("_salts > 1")
+    hot = sizes.select(*keys, salts.alias("_salts")).where("_salts > 1")
     dealt = (
         rows.join(F.broadcast(hot), keys, "left")
         .withColumn(

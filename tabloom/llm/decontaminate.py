@@ -6,14 +6,18 @@ five-word shingles weighted by how often they occur,
 sum of the smaller weights over sum of the larger ones.
 
 1. Windows. Without a shared shingle the similarity is 0, so windows are laid only where a
-   shingle of some item occurs, at the item's offset and size. That drops no match. The item
-   that placed a window goes to the exact check with it, whatever their fingerprints.
-2. Fingerprints. The 60-bit SimHash of a window's words is compared with those of all
-   items of the same size, to find items that did not place the window too.
+   shingle of some item occurs, at the offset and size it has there. That drops no match.
+2. Fingerprints. The 60-bit SimHash of a window's words is looked up among those of all items of the same
+   size; items at most RADIUS bits away are its candidates.
 3. Multi-index search. The fingerprint is cut into BLOCKS blocks; of two fingerprints at most
    RADIUS bits apart one block differs in at most RADIUS // BLOCKS bits, so looking up all
    block values that near finds every fingerprint within the radius.
-4. Exact check on the words themselves.
+4. Second source. An item that placed a window and is more than RADIUS bits away from it is a candidate too, so that no
+   match is lost to the spread of the fingerprints. `far=False` leaves it out.
+5. Exact check on the words themselves.
+
+All joins are the same at any number of items: positions whose shingle no item has are ruled out by a bitmap of bounded
+size, the others are joined by a shuffle with hot keys dealt over tasks, and words are fetched again only for windows.
 """
 
 from __future__ import annotations
@@ -22,15 +26,13 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import bind, drop_ids, written
+from tabloom.llm.common import bind, drop_ids, maybe_in, salted_join, written
 
 SHINGLE = 5
 SIMILARITY = 0.75
 BITS, BLOCKS = 60, 5
 # One changed word of 15 moves 7 bits of 60 in the mean (angle 0.37 of pi), with a spread of 2.5.
 RADIUS = 14
-# The item index is broadcast up to this many rows of about 100 bytes, else joined by a shuffle.
-MAX_BROADCAST_ROWS = 500_000
 
 
 def words_of(text: Column) -> Column:
@@ -40,11 +42,6 @@ def words_of(text: Column) -> Column:
     return F.filter(cleaned, lambda w: w != "")
 
 
-def _at_most(index: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast if it is a counted, bounded number of rows."""
-    return F.broadcast(index) if index.count() <= limit else index
-
-
 def _gram(words: str, start: Column, size: int) -> Column:
     return F.xxhash64(F.lit(size), *(F.get(F.col(words), start + i) for i in range(size)))
 
@@ -99,10 +96,43 @@ def _weighted_overlap(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, value.alias("similarity"))
 
 
+def _grams(rows: DataFrame, words: str, lengths: list[int], at: str) -> DataFrame:
+    """A row per shingle of `words`, with its place and hash: of five words, or of all words of a shorter item."""
+    every = None
+    for length in lengths:
+        fitting = rows.where(F.size(words) >= length)
+        if "item_id" in rows.columns:
+            fitting = fitting.where(F.least(F.lit(SHINGLE), F.size(words)) == length)
+        placed = fitting.withColumn(at, F.explode(F.sequence(F.lit(0), F.size(words) - length)))
+        found = placed.withColumn("_gram", _gram(words, F.col(at), length)).drop(words)
+        every = found if every is None else every.unionByName(found)
+    return every
+
+
+def _near(prints: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(_size, _own_print, _n, item_id): the items within RADIUS bits of each fingerprint of windows."""
+    masks = F.array(*(F.lit(m).cast("long") for m in _near_masks()))
+    distinct = benchmark.select("_size", "_print").distinct()
+    index = (
+        distinct.withColumn("_key", F.explode(_block_keys(F.col("_print"))))
+        .withColumn("_mask", F.explode(masks))
+        .select("_size", "_print", F.col("_key").bitwiseXOR(F.col("_mask")).alias("_key"))
+    )
+    pairs = (
+        prints.withColumn("_key", F.explode(_block_keys(F.col("_own_print"))))
+        .join(index, ["_size", "_key"])
+        .where(F.bit_count(F.col("_own_print").bitwiseXOR(F.col("_print"))) <= RADIUS)
+        .select("_size", "_own_print", "_n", "_print")
+        .distinct()
+    )
+    return pairs.join(benchmark.select("_size", "_print", "item_id").distinct(), ["_size", "_print"]).drop("_print")
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
     *,
+    far: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_id_col: str = "item_id",
@@ -123,50 +153,61 @@ def find_leaks(
         .withColumn("_print", simhash(F.col("_item_words"))),
         "leak-items",
     )
-    gram_sizes = sorted(r[0] for r in benchmark.select(F.least(F.lit(SHINGLE), "_size")).distinct().collect())
-
+    lengths = sorted(r[0] for r in benchmark.select(F.least(F.lit(SHINGLE), "_size")).distinct().collect())
     texts = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_words")
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("_row"), F.col(text_col).alias("_text")
     )
-    placed = None
-    for size in gram_sizes:
-        fitting = F.col("_size") == size if size < SHINGLE else F.col("_size") >= size
-        grams = (
-            benchmark.where(fitting)
-            .select("item_id", "_size", "_item_words", F.explode(F.sequence(F.lit(0), F.col("_size") - size)).alias("_offset"))
-            .select("item_id", "_size", "_offset", _gram("_item_words", F.col("_offset"), size).alias("_gram"))
-            .distinct()
-        )
-        found = (
-            texts.where(F.size("_words") >= size)
-            .select("doc_id", "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - size)).alias("_at"))
-            .withColumn("_gram", _gram("_words", F.col("_at"), size))
-            .join(_at_most(grams), "_gram")
-        )
-        first = F.greatest(F.col("_at") - F.col("_offset"), F.lit(0))
-        last = F.least(F.col("_at") - F.col("_offset") + F.col("_size"), F.size("_words"))
-        windows = found.select("doc_id", "item_id", "_size", F.slice("_words", first + 1, last - first).alias("_window"))
-        placed = windows if placed is None else placed.unionByName(windows)
-    if placed is None:
+    if not lengths:
         return texts.select("doc_id", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"),
                             F.lit(0.0).alias("similarity")).where("false")
 
-    windows = written(placed.distinct().withColumn("_own_print", simhash(F.col("_window"))), "leak-windows")
-    masks = F.array(*(F.lit(m).cast("long") for m in _near_masks()))
-    index = (
-        benchmark.select("item_id", "_size", "_print", F.explode(_block_keys(F.col("_print"))).alias("_key"))
-        .withColumn("_mask", F.explode(masks))
-        .select("item_id", "_size", "_print", F.col("_key").bitwiseXOR(F.col("_mask")).alias("_key"))
+    text, window = ["doc_id", "_row"], ["doc_id", "_row", "_lo", "_size"]
+    known = written(_grams(benchmark, "_item_words", lengths, "_offset").distinct(), "leak-grams")
+    members = written(known.select("_gram").distinct(), "leak-members")
+    places = _grams(texts.select(*text, words_of(F.col("_text")).alias("_words")), "_words", lengths, "_at")
+    places = written(maybe_in(places, members, ["_gram"]).where("_maybe").drop("_maybe"), "leak-places")
+    # Grams that occur, with how often they do: a hot one is one row per task before the shuffle.
+    counted = written(known.join(places.groupBy("_gram").agg(F.count("*").alias("_n")), "_gram"), "leak-counted")
+    hits = salted_join(places, counted, ["_gram"], "_n", F.struct(*text, "_at"), unique=False)
+    placed = written(
+        hits.select(*text, (F.col("_at") - F.col("_offset")).alias("_lo"), "_size", "item_id", "_print").distinct(), "leak-placed"
     )
-    near = (
-        windows.select("doc_id", "_size", "_window", "_own_print").distinct()
-        .select("doc_id", "_size", "_window", "_own_print", F.explode(_block_keys(F.col("_own_print"))).alias("_key"))
-        .join(_at_most(index), ["_size", "_key"])
-        .where(F.bit_count(F.col("_own_print").bitwiseXOR(F.col("_print"))) <= RADIUS)
-        .select("doc_id", "_window", "item_id")
+
+    # A text is cut into words again once, whatever the number of its windows.
+    needed = written(placed.groupBy(*text).agg(F.collect_set(F.struct("_lo", "_size")).alias("_wanted")), "leak-needed")
+    wanted = maybe_in(texts, needed, text).where("_maybe").drop("_maybe").join(needed.hint("merge"), text)
+
+    def windows_of(words: Column) -> Column:
+        def cut(w: Column) -> Column:
+            first = F.greatest(w["_lo"], F.lit(0))
+            last = F.least(w["_lo"] + w["_size"], F.size(words))
+            return F.struct(w["_lo"].alias("_lo"), w["_size"].alias("_size"), F.slice(words, first + 1, last - first).alias("_window"))
+
+        return F.transform("_wanted", cut)
+
+    cut = wanted.select(*text, F.explode(bind(words_of(F.col("_text")), windows_of)).alias("_cut"))
+    windows = written(
+        cut.select(*text, "_cut.*").distinct().withColumn("_own_print", simhash(F.col("_window"))), "leak-windows"
+    )
+    # Copies of a passage are one fingerprint in the search.
+    prints = windows.groupBy("_size", "_own_print").agg(F.count("*").alias("_n"))
+    near = written(_near(prints, benchmark), "leak-near")
+    found = salted_join(windows, near, ["_size", "_own_print"], "_n", F.struct(*window), unique=False).select(
+        "doc_id", "_window", "item_id"
+    )
+    if far:
+        beyond = placed.join(windows, window).where(F.bit_count(F.col("_own_print").bitwiseXOR(F.col("_print"))) > RADIUS)
+        found = found.unionByName(beyond.select("doc_id", "_window", "item_id"))
+    found = written(found, "leak-candidates")
+    words = written(
+        benchmark.select("item_id", "_item_words").distinct().join(
+            found.groupBy("item_id").agg(F.count("*").alias("_n")), "item_id"
+        ),
+        "leak-words",
     )
-    found = windows.select("doc_id", "_window", "item_id").unionByName(near).distinct()
-    candidates = found.join(_at_most(benchmark.select("item_id", "_item_words")), "item_id")
+    # rows that repeat an item id with other words are items each
+    candidates = salted_join(found, words, ["item_id"], "_n", F.struct("doc_id", "_window"), unique=False)
+    candidates = candidates.select("doc_id", "item_id", "_window", "_item_words")
     checked = _weighted_overlap(candidates, ["doc_id", "item_id"]).where(F.col("similarity") >= SIMILARITY)
     return checked.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
