@@ -113,6 +113,11 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _order(lines: DataFrame) -> list[str]:
+    """What lines of a block are sorted by: the column `order` where there is one."""
+    return ["order"] if "order" in lines.columns else ["position", "line"]
+
+
 def learn(lines: DataFrame) -> Model:
     """Probabilities counted over labelled lines (conv_id, block, position, line, role, opens), one added to each count.
 
@@ -120,7 +125,7 @@ def learn(lines: DataFrame) -> Model:
     Without any labelled line all states are equally likely.
     """
     named = lines.withColumn("state", _state(F.col("role"), F.col("opens"))).where("state IS NOT NULL")
-    order = Window.partitionBy("conv_id", "block").orderBy("position", "line")
+    order = Window.partitionBy("conv_id", "block").orderBy(*_order(lines))
     first = F.row_number().over(order) == 1
     before = F.when(first & (F.col("block") == 0), F.lit(START)).otherwise(F.lag("state").over(order))
     moves = named.select(before.alias("before"), "state").where("before IS NOT NULL").groupBy("before", "state").count().collect()
@@ -179,7 +184,7 @@ def _per_group(rows: DataFrame, keys: list[str], order: list[str], schema: str,
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
     run.types = [kinds[field.split()[1]] for field in schema.split(", ")]
     dealt = rows.select(*keys, *(c for c in rows.columns if c not in keys)).repartition(*keys)
-    return dealt.sortWithinPartitions(*keys, *order).transform(in_arrow, run, schema)
+    return dealt.sortWithinPartitions(*keys, *order).drop("order").transform(in_arrow, run, schema)
 
 
 def _product(matrices: list[list[float]]) -> np.ndarray:
@@ -210,15 +215,18 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
     `lines` has conv_id, block, position, line: blocks are numbered from 0 without gaps of meaning and hold a
     bounded number of lines each. A turn that goes on in the next block continues in a piece with `opens` false;
     all other pieces open a turn and carry its header. `first_line` and `last_line` are positions. Markers
-    are removed from opening lines. Null lines count as blank; rows without a conversation are left out; equal
-    positions are put in the order of their lines. An empty table gives an empty result.
+    are removed from opening lines. Null lines count as blank; rows without a conversation are left out. Lines of a
+    block are in the order of a column `order`, if there is one; without it they go by position, and equal
+    positions by their lines. An empty table gives an empty result.
     """
+    order = _order(lines)
     usable = lines.where("conv_id IS NOT NULL").select(
-        "conv_id", "block", F.coalesce("position", F.lit(0)).cast("long").alias("position"), F.coalesce("line", F.lit("")).alias("line")
+        "conv_id", "block", F.coalesce("position", F.lit(0)).cast("long").alias("position"), F.coalesce("line", F.lit("")).alias("line"),
+        *(c for c in order if c == "order"),
     )
     level = written(
         _per_group(
-            usable, ["conv_id", "block"], ["position", "line"], "conv_id long, block long, matrix array<double>",
+            usable, ["conv_id", "block"], order, "conv_id long, block long, matrix array<double>",
             lambda key, columns: [(*key, model.matrix(columns[3]).ravel())],
         ),
         "chat-level",
@@ -273,7 +281,7 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
 
     placed = usable.join(ends, ["conv_id", "block"])
     return _per_group(
-        placed, ["conv_id", "block"], ["position", "line"],
+        placed, ["conv_id", "block"], order,
         "conv_id long, first_line long, last_line long, role string, opens boolean, rendered string", render,
     )
 
@@ -293,11 +301,13 @@ STYLES = (
 
 
 def transcript_lines(conversations: DataFrame, unmarked: int = 15) -> DataFrame:
-    """Raw transcripts of a conversation table: (conv_id, block, position, line, role, opens).
+    """Raw transcripts of a conversation table: (conv_id, block, position, line, role, opens, order).
 
     Each conversation has one of STYLES, by the hash of its id; `unmarked` percent of the turns after the first
     carry no marker. `role` and `opens` say what a parser should find. Null texts are one blank line;
-    rows without a conversation are left out; null turns come first.
+    rows without a conversation are left out; null turns come first. `order` is turn, hash of the row, number of the
+    row, line: rows of one turn stay apart, and lines of a turn in their order, at any number. Positions
+    name the lines; those of a null turn are as in turn 0, and those from TURN_SPAN - 1 on are one.
     """
     marks = F.array(*(F.array(*(F.lit(m) for m in style)) for style in STYLES))
     style = F.get(marks, F.pmod(F.xxhash64("conv_id", F.lit("style")), F.lit(len(STYLES))).cast("int"))
@@ -307,10 +317,13 @@ def transcript_lines(conversations: DataFrame, unmarked: int = 15) -> DataFrame:
     mark = F.when(bare | number.isNull(), F.lit("")).otherwise(F.get(style, number))
     rows = conversations.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"), "role",
+        F.coalesce(F.col("turn").cast("long"), F.lit(-1 << 62)).alias("rank"),
+        # rows alike in all columns may swap their numbers when a task is run again, which changes nothing
+        F.xxhash64("turn", "role", "text").alias("row"), F.monotonically_increasing_id().alias("copy"),
         F.posexplode(F.split(F.concat(mark, F.coalesce("text", F.lit(""))), "\n")).alias("at", "line"),
     )
     position = F.col("turn") * TURN_SPAN + F.least("at", F.lit(TURN_SPAN - 1))
     return rows.select(
         "conv_id", F.floor(position / BLOCK_SPAN).alias("block"), position.alias("position"), "line", "role",
-        (F.col("at") == 0).alias("opens"),
+        (F.col("at") == 0).alias("opens"), F.array("rank", "row", "copy", F.col("at").cast("long")).alias("order"),
     )

@@ -111,3 +111,28 @@ def test_odd_transcripts(spark):
     found = chat.recover_turns(lines, chat.learn(lines)).collect()
     assert {r["conv_id"] for r in found} == {1, 2, 3}
     assert chat.recover_turns(lines.limit(0), chat.learn(lines.limit(0))).isEmpty()
+
+
+def test_rows_of_one_turn_stay_apart(spark, folder):
+    model = chat.learn(chat.transcript_lines(spark.read.parquet(f"{folder}/conversations.parquet")))
+    texts = ["m0 is here.\nm1 goes on.", "n0 is here.\nn1 goes on.", "n0 is here.\nn1 goes on."]
+    rows = [(1, 0, "user", texts[0]), (1, 0, "user", texts[1]), (1, 0, "user", texts[2]), (1, None, "user", "first of all.\nand second.")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    lines = [r["line"] for r in chat.transcript_lines(table).orderBy("order").collect()]
+    bodies = [line.split(": ", 1)[-1].split("] ")[-1].split("** ")[-1] for line in lines]
+    assert bodies[:2] == ["first of all.", "and second."]
+    assert sorted(zip(bodies[2::2], bodies[3::2], strict=True)) == sorted(tuple(t.split("\n")) for t in texts)
+    found = chat.recover_turns(chat.transcript_lines(table), model).collect()
+    assert sum(len(r["rendered"].split("\n")) - r["opens"] for r in found) == 8
+
+
+def test_a_turn_of_more_lines_than_positions_keeps_their_order(spark, monkeypatch):
+    """Lines beyond the positions of a turn, numbered downwards so that their texts sort the other way round."""
+    monkeypatch.setattr(chat, "TURN_SPAN", 16)
+    monkeypatch.setattr(chat, "BLOCK_SPAN", 64 * 16)
+    text = "\n".join(f"{n:04d}" for n in range(2000, 0, -1))
+    table = spark.createDataFrame([(1, 0, "user", text)], "conv_id long, turn int, role string, text string")
+    lines = chat.transcript_lines(table)
+    assert lines.where("position = 15").count() == 2000 - 15
+    found = chat.recover_turns(lines, chat.learn(lines)).collect()
+    assert len(found) == 1 and found[0]["rendered"].split("\n")[2:] == text.split("\n")[1:]
