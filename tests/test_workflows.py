@@ -384,3 +384,21 @@ def test_scratch_tables_can_be_cleared(spark):
     spark.range(3).write.parquet(path)
     assert session.clear_scratch(spark, before) == 1 and session.clear_scratch(spark, before) == 0
     assert not os.path.exists(path.removeprefix("file:")) and session.scratch_paths(spark) == before
+
+
+def test_large_inputs_are_derived_without_a_shuffle(spark, folder, monkeypatch):
+    dealt = {t: getattr(derived, t)(spark, folder) for t in ("signal", "signal_text", "claims")}
+    monkeypatch.setattr(derived, "DEALT_BYTES", 0)
+    for name, rows in dealt.items():
+        mapped = getattr(derived, name)(spark, folder)
+        assert "Exchange" not in mapped._jdf.queryExecution().executedPlan().toString()
+        assert mapped.exceptAll(rows).isEmpty() and rows.exceptAll(mapped).isEmpty()
+
+
+def test_wide_stages_are_compiled_in_any_session(spark, folder):
+    derived.claims(spark, folder)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_csv_files_are_compressed(spark, folder):
+    assert all(f.endswith(".gz") for f in derived.signal_csv(spark, folder).inputFiles())
