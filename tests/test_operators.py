@@ -8,12 +8,13 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tabloom.functions import hashing
 from tabloom.functions.hashing import with_row_key
 from tabloom.functions.ranking import with_position
-from tabloom.operators import columns, filters, impute, metrics, models, profile, sampling
+from tabloom.operators import columns, filters, impute, linear, metrics, models, profile, sampling
 from tabloom.operators import features as ft
 from tabloom.operators.ordering import shuffle_rows, top_1
 from tabloom.sources.csv import scan_csv_header, scan_csv_positional
@@ -354,3 +355,31 @@ def test_top_1(letters):
 def test_vector_elements(spark):
     table = spark.createDataFrame([([1.0, 2.0],)], "a array<double>").select(array_to_vector("a").alias("v"))
     assert table.select(*ft.vector_elements("v", ["x", "y"])).first().asDict() == {"x": 1.0, "y": 2.0}
+
+
+def test_wide_vectors_equal_assembled_ones_and_name_no_slot(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [(1, "a", "x", 0.0, 2.5), (2, "b", "y", 3.0, 0.0), (3, "c", "x", -1.0, 7.0), (4, "b", "z", 5.0, 1.0)],
+        "id int, p string, q string, u double, v double",
+    )
+
+    def vectors(max_labels):
+        dictionary = ft.fit_string_index(profile.value_counts(rows, ["p", "q"]), ["p", "q"], max_labels)
+        encoded = ft.encode_categories(rows, dictionary, ["p", "q"], "categories")
+        return ft.assemble(encoded, ["u", "categories", "v"], "vector")
+
+    narrow = {r["id"]: r["vector"].toArray().tolist() for r in vectors(100).collect()}
+    monkeypatch.setattr(ft, "MAX_DRIVER_LABELS", 3)
+    wide = vectors(0)
+    assert {r["id"]: r["vector"].toArray().tolist() for r in wide.collect()} == narrow
+    assert wide.schema["vector"].metadata == {"ml_attr": {"num_attrs": 8}}
+
+
+def test_ridge_holds_only_elements_that_occur(spark):
+    rows = spark.createDataFrame(
+        [(Vectors.sparse(10**7, [5, 9_000_000 + i % 3], [float(i), 1.0]), float(2 * i + i % 3)) for i in range(30)]
+    ).toDF("features", "y")
+    model = linear.fit_ridge(rows, "features", "y", 1e-6)
+    assert model.coefficients.size == 10**7 and len(model.coefficients.indices) == 4
+    error = model.transform(rows).agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert error < 1e-2
