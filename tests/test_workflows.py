@@ -395,6 +395,17 @@ def test_large_inputs_are_derived_without_a_shuffle(spark, folder, monkeypatch):
         assert mapped.exceptAll(rows).isEmpty() and rows.exceptAll(mapped).isEmpty()
 
 
+def test_filtered_claims_hash_each_row_once(spark, folder, monkeypatch):
+    """A filter moved below the hashes would compute them wherever its condition mentions them."""
+    from tabloom.plans.queries import _labelled
+
+    dealt = _labelled(spark, folder)
+    monkeypatch.setattr(derived, "DEALT_BYTES", 0)
+    mapped = _labelled(spark, folder)
+    assert mapped._jdf.queryExecution().executedPlan().toString().count("md5(") == len(derived.VALUES)
+    assert mapped.exceptAll(dealt).isEmpty() and dealt.exceptAll(mapped).isEmpty()
+
+
 def test_wide_stages_are_compiled_in_any_session(spark, folder):
     derived.claims(spark, folder)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
