@@ -11,7 +11,7 @@ from tabloom.operators import linear, models, profile, sampling, trees, tuning
 from tabloom.operators.features import assemble
 from tabloom.plans import claims as claims_plan
 from tabloom.plans import signal as signal_plan
-from tabloom.plans.queries import KEPT_NOMINAL, QUERIES
+from tabloom.plans.queries import KEPT_NOMINAL, QUERIES, _labelled
 from tabloom.sources import derived
 
 
@@ -397,8 +397,6 @@ def test_large_inputs_are_derived_without_a_shuffle(spark, folder, monkeypatch):
 
 def test_filtered_claims_hash_each_row_once(spark, folder, monkeypatch):
     """A filter moved below the hashes would compute them wherever its condition mentions them."""
-    from tabloom.plans.queries import _labelled
-
     dealt = _labelled(spark, folder)
     monkeypatch.setattr(derived, "DEALT_BYTES", 0)
     mapped = _labelled(spark, folder)
@@ -406,6 +404,18 @@ def test_filtered_claims_hash_each_row_once(spark, folder, monkeypatch):
     assert mapped.exceptAll(dealt).isEmpty() and dealt.exceptAll(mapped).isEmpty()
 
 
+def test_text_is_cast_once_where_incomplete_rows_are_dropped(spark, folder, monkeypatch):
+    """Large text is neither written first nor read as a number by the filter and the projection both."""
+    for name in ("prepare_signal", "drop_any_missing"):
+        dealt = QUERIES[name](spark, folder)
+        monkeypatch.setattr(derived, "DEALT_BYTES", 0)
+        mapped = QUERIES[name](spark, folder)
+        plan = mapped._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("try_cast(") <= len(SIGNAL_FEATURES) + 1 and "lineitem.parquet" in plan
+        assert mapped.exceptAll(dealt).isEmpty() and dealt.exceptAll(mapped).isEmpty()
+        monkeypatch.undo()
+
+
 def test_wide_stages_are_compiled_in_any_session(spark, folder):
     derived.claims(spark, folder)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
