@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom import jobs, session
 from tabloom.config import CLAIMS, CLAIMS_COLUMNS, SIGNAL_COLUMNS, SIGNAL_FEATURES, ClaimsRoles
-from tabloom.operators import linear, models, profile, sampling, trees, tuning
+from tabloom.operators import boosting, linear, models, profile, sampling, trees, tuning
 from tabloom.operators.features import assemble
 from tabloom.plans import claims as claims_plan
 from tabloom.plans import signal as signal_plan
@@ -124,6 +124,52 @@ def test_certificate_finds_a_wrong_model(balanced):
     assert not met.where("NOT met").isEmpty()
 
 
+# --- boosting over packed blocks ---
+
+
+def test_many_rows_are_boosted_without_the_librarys_trainer(prepared, monkeypatch):
+    """The same first tree, and the same model but for cuts of equal gain; the library sees no training row."""
+    train, test = sampling.split_train_test(prepared, "row_id")
+    estimator = models.boosted(maxIter=3, maxDepth=4)
+    library = models.fit(estimator, train)
+    seen = []
+    fit = type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, rows, *a: seen.append(rows.count()) or fit(self, rows, *a))
+    monkeypatch.setattr(boosting, "LIBRARY_ROWS", 100)
+    ours = models.fit(estimator, train)
+    assert seen == [2]
+    assert ours.trees[0].toDebugString.split("\n")[1:] == library.trees[0].toDebugString.split("\n")[1:]
+    assert ours.treeWeights == library.treeWeights and ours.numFeatures == library.numFeatures
+    assert {p.name: v for p, v in ours.extractParamMap().items()} == {p.name: v for p, v in library.extractParamMap().items()}
+    assert np.abs(ours.featureImportances.toArray() - library.featureImportances.toArray()).max() < 0.01
+    auc = [tuning.exact_auc().evaluate(m.transform(test)) for m in (ours, library)]
+    assert auc[0] == pytest.approx(auc[1], abs=0.005)
+
+
+def test_packed_boosting_does_not_depend_on_layout(prepared, monkeypatch):
+    monkeypatch.setattr(boosting, "LIBRARY_ROWS", 100)
+    train, _ = sampling.split_train_test(prepared, "row_id")
+    fits = [models.fit(models.boosted(maxIter=2, maxDepth=3), train.repartition(n)).toDebugString for n in (1, 5)]
+    cuts = [[line for line in text.splitlines()[1:] if "Predict" not in line] for text in fits]
+    assert cuts[0] == cuts[1] and len(cuts[0]) > 20
+
+
+def test_packed_boosting_edge_cases(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "LIBRARY_ROWS", 1)
+    classes = {"ml_attr": {"type": "nominal", "num_vals": 2}}
+
+    def rows(values):
+        table = assemble(spark.createDataFrame(values, "a double, b double, label double"), ["a", "b"], "features")
+        return table.withColumn("label", F.col("label").alias("label", metadata=classes))
+
+    flat = models.fit(models.boosted(maxIter=2), rows([(1.0, 2.0, 1.0)] * 3 + [(1.0, 2.0, 0.0)] * 2))
+    assert [t.numNodes for t in flat.trees] == [1, 1]
+    pure = models.fit(models.boosted(maxIter=2), rows([(float(i), 2.0, 1.0) for i in range(5)]))
+    assert [t.numNodes for t in pure.trees] == [1, 1]
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        models.fit(models.boosted(maxIter=1), rows([(float(i), 2.0, 2.0) for i in range(5)]))
+
+
 # --- trees as tables ---
 
 
