@@ -170,6 +170,30 @@ def test_packed_boosting_edge_cases(spark, monkeypatch):
         models.fit(models.boosted(maxIter=1), rows([(float(i), 2.0, 2.0) for i in range(5)]))
 
 
+def test_a_search_boosts_many_rows_without_the_librarys_trainer(prepared, monkeypatch):
+    train, _ = sampling.split_train_test(prepared, "row_id")
+    estimator, grid = models.boosted(maxDepth=2), {"maxIter": (1, 2)}
+    library = tuning.cross_validate(estimator, train, grid, key="row_id", folds=2)
+    counts = []
+    ours = boosting.fit_boosted
+    monkeypatch.setattr(boosting, "fit_boosted", lambda e, rows, n: counts.append(n) or ours(e, rows, n))
+    monkeypatch.setattr(boosting, "LIBRARY_ROWS", 100)
+    packed = tuning.cross_validate(estimator, train, grid, key="row_id", folds=2)
+    assert len(counts) == 3 and sum(counts[:2]) == counts[2] == train.count()
+    for a, b in zip(library.fold_metrics, packed.fold_metrics, strict=True):
+        assert a == pytest.approx(b, abs=1e-3)
+
+
+def test_a_search_does_not_write_the_whole_table(spark, folder, monkeypatch):
+    """Input that is not dealt out is read twice for its keys, and other columns are derived for the subsample alone."""
+    from tabloom.plans import queries
+
+    expected = queries._tune(spark, folder, models.forest(numTrees=1), {"maxDepth": (1, 2)})[0].fold_metrics
+    monkeypatch.setattr(derived, "is_small", lambda *a: False)
+    monkeypatch.setattr(derived, "_once", lambda *a: pytest.fail("the table was written"))
+    assert queries._tune(spark, folder, models.forest(numTrees=1), {"maxDepth": (1, 2)})[0].fold_metrics == expected
+
+
 # --- trees as tables ---
 
 
