@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -99,17 +103,75 @@ def _ancestors(nodes: DataFrame, depth: int) -> DataFrame:
     return found
 
 
+def _leaf_bins(rows: DataFrame, features: str, value: Column, nodes: DataFrame) -> DataFrame:
+    """(tree, node, feature, bin, n, total): the rows of each leaf by bin, one row for each task that met them.
+
+    As `route` for each tree, but for all rows of a batch at once, and no row is repeated for each feature. The nodes of a model
+    that is on the driver already are sent to the tasks.
+    """
+    table = [r.asDict() for r in nodes.select("tree", "node", "low", "high", "feature", "threshold", "left").collect()]
+    by_tree = {t: {r["node"]: r for r in table if r["tree"] == t} for t in sorted({r["tree"] for r in table})}
+
+    def descend(tree: dict, node: int, x: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        split = tree[node]
+        if split["low"] is None:
+            yield node, at
+            return
+        cell = x[at, split["feature"]]
+        low = cell <= split["threshold"] if split["left"] is None else np.isin(cell, split["left"])
+        yield from descend(tree, split["low"], x, at[low])
+        yield from descend(tree, split["high"], x, at[~low])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # (tree, leaf) -> count and total by (feature, bin)
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            bins = x.astype(np.int64)
+            if (bins != x).any() or bins.min() < 0:
+                raise ValueError(f"{features} holds a value that is no number of a bin")
+            width, every = int(bins.max()) + 1, np.arange(len(y))
+            for t, tree in by_tree.items():
+                for leaf, at in descend(tree, 0, x, every):
+                    if not len(at):
+                        continue
+                    slots = (bins[at] + np.arange(x.shape[1]) * width).ravel()
+                    weights = np.repeat(y[at], x.shape[1])
+                    found = np.stack([np.bincount(slots, w, x.shape[1] * width) for w in (None, weights)])
+                    found = found.reshape(2, x.shape[1], width)
+                    held = sums.get((t, leaf))
+                    if held is not None:
+                        wide = max(held.shape[2], width)
+                        found, held = (np.pad(a, ((0, 0), (0, 0), (0, wide - a.shape[2]))) for a in (found, held))
+                        found = found + held
+                    sums[t, leaf] = found
+        for (t, leaf), (n, total) in sums.items():
+            feature, bin_ = np.nonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(feature), t), pa.int32()), pa.array(np.full(len(feature), leaf), pa.int32()),
+                    pa.array(feature, pa.int32()), pa.array(bin_.astype(np.float64)),
+                    pa.array(n[feature, bin_].astype(np.int64)), pa.array(total[feature, bin_]),
+                ],
+                ["tree", "node", "feature", "bin", "n", "total"],
+            )
+
+    vectors = rows.select(vector_to_array(features).alias("x"), value.cast("double").alias("y"))
+    return vectors.mapInArrow(run, "tree int, node int, feature int, bin double, n bigint, total double")
+
+
 def split_gains(rows: DataFrame, features: str, value: Column, nodes: DataFrame, depth: int) -> DataFrame:
     """(tree, node, n, total, chosen, best): the gain of each split of a fitted tree, and the largest there is.
 
-    `features` is a vector of bin numbers. One aggregate counts (leaf, feature, bin); the counts of a node are those of
+    `features` is a vector of bin numbers. Counts by (leaf, feature, bin) are added up in each task; the counts of a node are those of
     the leaves below it, and running sums over the bins of a feature give the gain of every cut. Gains are reductions of the sum of
     squares of `value`, in which order those of the Gini impurity are too.
     """
-    routed = route(rows.select(features, value.alias("_value")), features, nodes, depth)
-    bins = F.posexplode(vector_to_array(features)).alias("feature", "bin")
-    leaves = routed.select("tree", "node", "_value", bins).groupBy("tree", "node", "feature", "bin").agg(
-        F.count("*").alias("n"), F.sum("_value").alias("total")
+    leaves = _leaf_bins(rows, features, value, nodes).groupBy("tree", "node", "feature", "bin").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total")
     )
     above = F.broadcast(_ancestors(nodes, depth))
     counts = (

@@ -197,6 +197,26 @@ def test_a_search_does_not_write_the_whole_table(spark, folder, monkeypatch):
 # --- trees as tables ---
 
 
+def test_split_check_repeats_no_row_for_each_feature(spark):
+    """Values on both sides of a nominal split, more than one tree, bins that only one task meets."""
+    rows = [(float(i % 3), float(i % 50 // 10), float(i % 3 == 1)) for i in range(300)]
+    table = assemble(spark.createDataFrame(rows, "a double, b double, label double"), ["a", "b"], "features")
+    nodes = spark.createDataFrame(
+        [(0, 0, 1, 2, 0, None, [1.0]), (0, 1, None, None, None, None, None), (0, 2, None, None, None, None, None),
+         (1, 0, 1, 2, 1, 2.0, None), (1, 1, None, None, None, None, None), (1, 2, None, None, None, None, None)],
+        "tree int, node int, low int, high int, feature int, threshold double, left array<double>",
+    )
+    assert "Generate" not in explain(trees._leaf_bins(table, "features", F.col("label"), nodes))
+    found = trees._leaf_bins(table.repartition(7), "features", F.col("label"), nodes)
+    found = found.groupBy("tree", "node", "feature", "bin").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    routed = trees.route(table, "features", nodes, 1)
+    bins = F.posexplode(vector_to_array("features")).alias("feature", "bin")
+    expected = routed.select("tree", "node", "label", bins).groupBy("tree", "node", "feature", "bin").agg(
+        F.count("*").alias("n"), F.sum("label").alias("total")
+    )
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_routed_rows_end_in_the_leaves_of_the_library(prepared):
     train, _ = sampling.split_train_test(prepared, "row_id")
     model = models.fit(models.forest(numTrees=3, maxDepth=4).setLeafCol("leaves"), train)
