@@ -124,6 +124,16 @@ def test_certificate_finds_a_wrong_model(balanced):
     assert not met.where("NOT met").isEmpty()
 
 
+def test_forests_are_fitted_on_a_bounded_number_of_partitions(prepared, monkeypatch):
+    estimator, seen = models.forest(numTrees=1, maxDepth=2), []
+    monkeypatch.setattr(type(estimator), "fit", lambda self, rows, *a: seen.append((rows.rdd.getNumPartitions(), rows.count())))
+    monkeypatch.setattr(models, "FOREST_PARTITIONS", 4)
+    monkeypatch.setattr(models, "FOREST_PARTITIONS_A_CORE", 0)
+    for n in (3, 9):
+        models.fit(estimator, prepared.repartition(n))
+    assert seen == [(3, prepared.count()), (4, prepared.count())]
+
+
 # --- boosting over packed blocks ---
 
 
