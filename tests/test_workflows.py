@@ -1,5 +1,7 @@
 """Whole workflows: invariants of learned models, layout independence, edge cases, plans."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -194,6 +196,22 @@ def test_a_search_boosts_many_rows_without_the_librarys_trainer(prepared, monkey
         assert a == pytest.approx(b, abs=1e-3)
 
 
+def test_the_plan_of_a_boosting_round_does_not_double(spark, prepared, monkeypatch):
+    """Over shuffled rows, whose plan is adaptive, as in a search."""
+    train = prepared.repartition(3, "row_id").persist()
+    lengths, grow = [], boosting._grow
+
+    def measured(blocks, *args, **options):
+        lengths.append(len(blocks._jdf.queryExecution().executedPlan().toString()))
+        return grow(blocks, *args, **options)
+
+    monkeypatch.setattr(boosting, "_grow", measured)
+    boosting.fit_boosted(models.boosted(maxDepth=1, maxIter=8), train, train.count())
+    train.unpersist()
+    assert len(lengths) == 8 and lengths[-1] < 16 * lengths[0]
+    assert not list(Path(session.shared_folder(spark)).glob("boosted-blocks-*"))
+
+
 def test_a_search_does_not_write_the_whole_table(spark, folder, monkeypatch):
     """Input that is not dealt out is read twice for its keys, and other columns are derived for the subsample alone."""
     from tabloom.plans import queries
