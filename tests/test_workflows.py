@@ -119,6 +119,73 @@ def test_ridge_edge_cases(spark):
     assert (empty.intercept, empty.coefficients.size) == (0.0, 0)
 
 
+def test_ridge_by_elimination_equals_the_library(balanced, monkeypatch):
+    """Every position is frequent here, so the table of the others is empty."""
+    train = balanced.train.filter(F.col(CLAIMS.label) == 1)
+    library = models.fit(models.gaussian_glm("finalvector", CLAIMS.target), train)
+    monkeypatch.setattr(linear, "HELD_POSITIONS", 0)
+    ours = linear.fit_ridge(train, "finalvector", CLAIMS.target, 0.01, "ours")
+    found = ours.coefficients.frequent.toArray()
+    for row in ours.coefficients.others.collect():
+        found[row["position"]] = row["coefficient"]
+    assert found == pytest.approx(np.array(library.coefficients), rel=1e-5, abs=1e-5)
+    assert ours.intercept == pytest.approx(library.intercept, rel=1e-6)
+
+
+@pytest.mark.parametrize("partitions", (1, 5))
+def test_wide_ridge_holds_no_vector_of_all_positions(spark, monkeypatch, partitions):
+    """Groups across batches and partitions, rows without another element, two rare elements, a stored zero, a constant column."""
+    from pyspark.ml.linalg import Vectors
+
+    monkeypatch.setattr(linear, "HELD_POSITIONS", 100)
+    monkeypatch.setattr(linear, "DENSE_ROWS", 7)
+    monkeypatch.setattr(linear, "FREQUENT", 20)
+    monkeypatch.setattr(linear, "_products", lambda *a: pytest.fail("a step of conjugate gradients"))
+    rng, rows = np.random.default_rng(1), []
+    for i in range(600):
+        places = {i % 7: 1.0, 8: 3.0, 9: float(rng.normal(5, 2)), 10: 0.0}
+        if i % 9:
+            places[100 + int(rng.integers(250))] = 1.0 + i % 2
+        if i % 100 == 50:
+            places[20] = 2.0
+        y = float(places[9] * 2 + i % 7 + rng.normal())
+        rows.append((Vectors.sparse(5000, places), y))
+    table = spark.createDataFrame(rows, ["v", "y"]).repartition(partitions)
+    model = linear.fit_ridge(table, "v", "y", 0.01, "p")
+    x, y = np.array([v.toArray() for v, _ in rows]), np.array([y for _, y in rows])
+    used = x.std(0) > 1e-9
+    mean, spread = x[:, used].mean(0), x[:, used].std(0)
+    z = (x[:, used] - mean) / spread
+    beta = np.linalg.solve(z.T @ z / len(y) + 0.01 / y.std() * np.eye(used.sum()), z.T @ (y - y.mean()) / len(y))
+    scored = model.transform(table)
+    expected = dict(zip(y, y.mean() + z @ beta))
+    for row in scored.collect():
+        assert row["p"] == pytest.approx(expected[row["y"]], abs=1e-6)
+    assert scored.columns == ["v", "y", "p"] and isinstance(model.coefficients, linear.TableCoefficients)
+    met = linear.check_optimum(scored, "v", "y", "p", model.coefficients, 0.01, 0.0, 1e-9)
+    assert met.count() == 5000 and met.where("NOT met").isEmpty()
+    assert 20 in model.coefficients.frequent.indices and len(model.coefficients.frequent.indices) < 20
+    worse = linear.TableCoefficients(model.coefficients.frequent, model.coefficients.others.withColumn("coefficient", F.col("coefficient") + 1))
+    wrong = linear.RidgeModel(worse, model.intercept, 1, "v", "p").transform(table)
+    assert not linear.check_optimum(wrong, "v", "y", "p", worse, 0.01, 0.0, 1e-9).where("NOT met").isEmpty()
+
+
+def test_ridge_with_nothing_frequent_and_with_many_meetings(spark, monkeypatch):
+    """Elimination without a frequent position; conjugate gradients where no few positions keep the others apart."""
+    from pyspark.ml.linalg import Vectors
+
+    monkeypatch.setattr(linear, "FREQUENT", 2)
+    monkeypatch.setattr(linear, "MOST_FREQUENT", 3)
+    monkeypatch.setattr(linear, "HELD_POSITIONS", 0)
+    for other, kind in ((lambda i: [], linear.TableCoefficients), (lambda i: [50 + i * 7 % 30], linear.SparseVector)):
+        rows = [(Vectors.sparse(100, [i % 40, *other(i)], [1.0] * (1 + len(other(i)))), float(i % 11)) for i in range(120)]
+        table = spark.createDataFrame(rows, ["v", "y"])
+        model = linear.fit_ridge(table, "v", "y", 0.1, "p")
+        assert isinstance(model.coefficients, kind)
+        met = linear.check_optimum(model.transform(table), "v", "y", "p", model.coefficients, 0.1, 0.0, 1e-4)
+        assert met.count() == 100 and met.where("NOT met").isEmpty()
+
+
 def test_certificate_finds_a_wrong_model(balanced):
     model = models.fit(models.elastic_net("finalvector", CLAIMS.target, maxIter=1), balanced.train)
     scored = model.transform(balanced.train)
